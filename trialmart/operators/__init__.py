@@ -51,7 +51,12 @@ def lookup(df: DataFrame, dim: DataFrame, on, columns: Mapping[str, str | Sequen
     pairs = _as_pairs(on)
     if where is not None:
         dim = dim.filter(where)
-    keys = [_fresh() for _ in pairs]
+    keys = [f"__lk{i}" for i in range(len(pairs))]
+    if set(keys) & set(df.columns):
+        keys = [_fresh() for _ in pairs]
+    # outputs are aliased inside the narrow right-side projection; Spark's
+    # exchange reuse canonicalises aliases away, so all roles of one
+    # dimension still share one broadcast
     sel = [F.col(pk).alias(k) for (_, pk), k in zip(pairs, keys)]
     for src, outs in columns.items():
         for out in ([outs] if isinstance(outs, str) else outs):
@@ -141,20 +146,16 @@ def eav_slots(df: DataFrame, eav: DataFrame, key: str, slots: Mapping[str, Mappi
     ``slots`` maps a slot name to ``{"types": [...], "value": <value filter or
     None>, "columns": {eav_col: output}}``.  Each slot is one left join of the
     entity to the rows of its type(s); a slot with several rows for an entity
-    fans out, exactly like one filtered join per attribute.  The tall table
-    is filtered to the slot types once and hash-partitioned by entity key, and
-    every slot reads that one exchange (Spark reuses it), so the EAV table is
-    scanned and shuffled once for all slots.
+    fans out, exactly like one filtered join per attribute.  Each slot's type
+    filter reaches the scan (pushed filter), so a slot only moves its own
+    rows: broadcast when small, otherwise a shuffle join on the entity key
+    whose entity side keeps one hash partitioning through the chain.
     """
-    all_types = sorted({t for s in slots.values() for t in s["types"]})
-    tall = (eav.filter(F.col(type_col).isin(all_types))
-            .select(fk, type_col, value_col)
-            .repartition(fk))
     for spec in slots.values():
         cond = F.col(type_col).isin(list(spec["types"]))
         if spec.get("value") is not None:
             cond = cond & (F.col(value_col) == F.lit(spec["value"]))
-        df = lookup(df, tall, (key, fk), spec["columns"], where=cond)
+        df = lookup(df, eav.select(fk, type_col, value_col), (key, fk), spec["columns"], where=cond)
     return df
 
 
