@@ -19,6 +19,8 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trialmart.session import checkpoint_dir
+
 _counter = [0]
 
 
@@ -187,18 +189,25 @@ def assign_keys(new_rows: DataFrame, existing: DataFrame, key_col: str,
     Distributed without a global single-task window: rows are range
     partitioned by the natural key and sorted inside each partition, the
     position inside a partition comes from ``monotonically_increasing_id``
-    (partition id in the high bits, record number in the low 33 bits), and
+    (partition id in the high bits, record number in the low 33 bits), the
+    numbered rows are checkpointed once, and
     each partition's offset is the running total of the per-partition counts
     (one row per partition, broadcast back).  The existing maximum enters as
     a scalar subquery.
     """
     base = existing.agg(F.coalesce(F.max(key_col), F.lit(0)).cast("bigint")).scalar()
     low_bits = (1 << 33) - 1
+    # The numbering is read twice (per-partition counts and the rows), and a
+    # recomputed range partitioning may place rows differently; checkpoint it
+    # once into the shared checkpoint folder so both reads see the same rows
+    # (this also cuts lineage before the key assignment).
+    checkpoint_dir(new_rows.sparkSession)
     numbered = (new_rows.repartitionByRange(*order_cols)
                 .sortWithinPartitions(*order_cols)
                 .withColumn("__id", F.monotonically_increasing_id())
                 .withColumn("__pid", F.shiftrightunsigned("__id", 33))
-                .withColumn("__rn", F.col("__id").bitwiseAND(F.lit(low_bits)) + 1))
+                .withColumn("__rn", F.col("__id").bitwiseAND(F.lit(low_bits)) + 1)
+                .checkpoint(eager=True))
     counts = numbered.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select(
         "__pid",
