@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .quality import fit_quality, score_quality
 from .url_filter import url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +50,11 @@ fits AS (SELECT page_id, max_by({'r': rule, 'v': verdict}, length(rule)) AS best
 SELECT page_id, host, path, best.r AS rule, coalesce(best.v, 'allow') AS verdict
 FROM parts LEFT JOIN fits USING (page_id)
 """
+
+
+@query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = fit_quality(docs, labels)
+    held = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    return score_quality(docs.select("doc_id", "text", held.alias("held_out")), model, ["doc_id", "held_out"])
