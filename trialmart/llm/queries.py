@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .quality import fit_quality, score_quality
+from .toxicity import fit_toxicity, score_toxicity
 from .url_filter import url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +59,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_quality(docs, labels)
     held = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
     return score_quality(docs.select("doc_id", "text", held.alias("held_out")), model, ["doc_id", "held_out"])
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    return score_toxicity(docs.select("doc_id", "text", held.alias("held_out")),
+                          fit_toxicity(docs, labels), ["doc_id", "held_out"])
