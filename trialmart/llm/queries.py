@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontaminate import decontaminate
 from .quality import fit_quality, score_quality
 from .toxicity import fit_toxicity, score_toxicity
 from .url_filter import url_filter
@@ -67,3 +68,8 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
     return score_toxicity(docs.select("doc_id", "text", held.alias("held_out")),
                           fit_toxicity(docs, labels), ["doc_id", "held_out"])
+
+
+@query
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
