@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import decontaminate
+from .pieces import Pieces, encode
 from .quality import fit_quality, score_quality
 from .toxicity import fit_toxicity, score_toxicity
 from .url_filter import url_filter
@@ -73,3 +74,12 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
+
+
+#: Vocabulary file of the token queries; any SentencePiece model with byte pieces will do.
+PIECES_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode(table(spark, sf_dir, "documents"), Pieces(PIECES_MODEL), ["doc_id"], with_ids=False)
