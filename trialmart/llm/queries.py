@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import decontaminate
+from .html_text import extract_main_text
 from .pieces import Pieces, encode
 from .quality import fit_quality, score_quality
 from .toxicity import fit_toxicity, score_toxicity
@@ -83,3 +84,8 @@ PIECES_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 @query
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"), Pieces(PIECES_MODEL), ["doc_id"], with_ids=False)
+
+
+@query
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
