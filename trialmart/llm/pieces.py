@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .bytes_ import prefix_hash, ragged, slices, span_hash, text_view
 
@@ -277,7 +278,7 @@ def encode(docs: DataFrame, pieces: Pieces, keep: list[str], *, text_col: str =
     rows = docs.select(F.col(text_col).alias("_text"), *keep)
     schema = docs.select(*keep).schema.add("n_tokens", "integer").add("ids_sha256", "string").add("round_trip", "boolean")
     if with_ids:
-        schema = schema.add("token_ids", "array<int>")
+        schema = schema.add("token_ids", T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "_text"):

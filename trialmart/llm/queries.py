@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import decontaminate
+from .grid_order import near_duplicate_vectors
 from .html_text import extract_main_text
 from .pieces import Pieces, encode
 from .quality import fit_quality, score_quality
@@ -89,3 +90,26 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op8_grid_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op8_grid_order"] = """
+WITH RECURSIVE good AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(embedding) > 0 AND list_count(embedding) = len(embedding)
+      AND isfinite(list_sum(embedding::DOUBLE[])) AND (list_max(embedding) > 0 OR list_min(embedding) < 0)),
+links AS (
+    SELECT a.vec_id AS u, b.vec_id AS v FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id
+    WHERE list_dot_product(a.x, b.x) / (sqrt(list_dot_product(a.x, a.x)) * sqrt(list_dot_product(b.x, b.x))) >= 0.98),
+reach(u, v) AS (SELECT u, v FROM links UNION SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u),
+root AS (SELECT u, min(v) AS r FROM reach GROUP BY u),
+degree AS (SELECT u, count(*) AS n FROM links GROUP BY u)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(r, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(r, vec_id)) AS kept
+FROM embeddings LEFT JOIN root ON root.u = vec_id LEFT JOIN degree ON degree.u = vec_id
+"""
