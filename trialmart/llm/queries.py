@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .decontaminate import decontaminate
 from .grid_order import near_duplicate_vectors
 from .html_text import extract_main_text
+from .ngram_join import jaccard_join
 from .pieces import Pieces, encode
 from .quality import fit_quality, score_quality
 from .toxicity import fit_toxicity, score_toxicity
@@ -113,3 +114,29 @@ SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(r, vec_
        vec_id = least(vec_id, coalesce(r, vec_id)) AS kept
 FROM embeddings LEFT JOIN root ON root.u = vec_id LEFT JOIN degree ON degree.u = vec_id
 """
+
+
+@query
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op4_ngram_jaccard"] = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM documents),
+grams AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS i FROM words)),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+pairs AS (
+    SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS common
+    FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+    SELECT u, v FROM pairs JOIN sizes x ON x.doc_id = u JOIN sizes y ON y.doc_id = v
+    WHERE 5 * common >= 4 * (x.n + y.n - common)),
+reach(u, v) AS (SELECT u, v FROM links UNION SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u),
+root AS (SELECT u, min(v) AS r FROM reach GROUP BY u),
+degree AS (SELECT u, count(*) AS n FROM links GROUP BY u)
+SELECT doc_id, least(doc_id, coalesce(r, doc_id)) AS class_id, coalesce(n, 0)::BIGINT AS n_links
+FROM documents LEFT JOIN root ON root.u = doc_id LEFT JOIN degree ON degree.u = doc_id
+"""
