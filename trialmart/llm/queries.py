@@ -15,6 +15,7 @@ from .pieces import Pieces, encode
 from .quality import fit_quality, score_quality
 from .toxicity import fit_toxicity, score_toxicity
 from .url_filter import url_filter
+from .word_windows import remove_repeated_words
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -140,3 +141,28 @@ degree AS (SELECT u, count(*) AS n FROM links GROUP BY u)
 SELECT doc_id, least(doc_id, coalesce(r, doc_id)) AS class_id, coalesce(n, 0)::BIGINT AS n_links
 FROM documents LEFT JOIN root ON root.u = doc_id LEFT JOIN degree ON degree.u = doc_id
 """
+
+
+@query
+def op9_word_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_words(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+ORACLES["op9_word_windows"] = r"""
+WITH words AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+    SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM words)),
+first AS (SELECT s, min(doc_id) AS d FROM windows GROUP BY s),
+gone AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p
+    FROM windows JOIN first USING (s) WHERE d < doc_id),
+single AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM words),
+kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t, count(*) AS n
+    FROM single ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""
