@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bytes_ import slices
+from .spark_ import shuffle_parts
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<[!?][^>]*>""", re.S)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
@@ -261,5 +262,9 @@ def extract_main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string()),
                                               pa.array([len(t) for t in texts], pa.int64())], names=schema.names)
 
-    return (rows.join(winners, "_host", "left").select("_id", "_url", "_html", "_path").mapInArrow(extract, schema)
+    # A host may hold a third of all pages: its pages are dealt over `spread` keys, its one winner is repeated for each.
+    spread = shuffle_parts(pages.sparkSession)
+    rows = rows.withColumn("_salt", F.pmod(F.xxhash64("_id", "_url"), F.lit(spread)))
+    winners = winners.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long"))))
+    return (rows.join(winners, ["_host", "_salt"], "left").select("_id", "_url", "_html", "_path").mapInArrow(extract, schema)
             .withColumnsRenamed({"_id": id_col, "_url": url_col}))
