@@ -13,6 +13,7 @@ from .html_text import extract_main_text
 from .ngram_join import jaccard_join
 from .pieces import Pieces, encode
 from .quality import fit_quality, score_quality
+from .suffix_array import remove_repeated_bytes
 from .toxicity import fit_toxicity, score_toxicity
 from .url_filter import url_filter
 from .word_windows import remove_repeated_words
@@ -166,3 +167,8 @@ SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n
        sha256(coalesce(t, '')) AS kept_sha256
 FROM words LEFT JOIN kept USING (doc_id)
 """
+
+
+@query
+def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_bytes(table(spark, sf_dir, "documents"), ["doc_id"])
