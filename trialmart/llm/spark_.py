@@ -3,25 +3,32 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder that ``spark.checkpoint.dir`` names.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names.
 
     Only a single-process local session without that setting gets a folder of
     its own; on a cluster a missing setting is an error.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="checkpoint-")
         sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -52,3 +59,11 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         label = moved.select("_u", "_l")
         if moved.where("_l <> _old").isEmpty():
             return label.select(F.col("_u").alias("id"), F.col("_l").alias("root"))
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet into a new folder under the checkpoint folder and read it again."""
+    spark = df.sparkSession
+    path = f"{checkpoint_folder(spark)}/{uuid.uuid4()}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
