@@ -5,7 +5,9 @@ four and five bytes (so inflected forms share evidence), each with
 ``log2(1 + count)``.  Grades run from 0 to 3: label 0 is grade 0, and toxic
 training documents are graded by how much of their text is marker vocabulary
 (features whose log odds lean to the toxic class by ``lean`` or more, firmly by
-a chi-square test that allows for the many candidates), cut at the terciles.  One weight
+a chi-square test that allows for the many candidates, and which a share
+``support`` of the toxic documents has, so that a few copies of one document
+make no vocabulary), cut at the terciles.  One weight
 vector is shared by the three ordered thresholds,
 
     P(grade > k) = sigmoid(w.x - theta_k),   theta_0 < theta_1 < theta_2,
@@ -111,7 +113,7 @@ def fit_ordinal(x: np.ndarray, y: np.ndarray, weight: np.ndarray, *, l2: float =
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, *, per_class: int = 1500, terms: int = 2048, min_docs: int = 4,
-                 lean: float = 2.0, chi2: float = 40.0,
+                 lean: float = 2.0, support: float = 0.03,
                  train: str = "crc32(cast(doc_id as string)) % 3 <> 1") -> ToxicityModel:
     """Fit on at most ``per_class`` labelled documents of each class, the first by a hash of their id."""
     known = (labels.where("doc_id is not null and toxic is not null").where(train)
@@ -149,7 +151,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, per_class: int = 1500, t
     odds = np.log((df[1] + 0.5) / (n1 - df[1] + 0.5)) - np.log((df[0] + 0.5) / (n0 - df[0] + 0.5))
     both = df.sum(0) / len(y)
     gain = (df[1] / n1 - df[0] / n0) ** 2 / np.maximum(both * (1 - both) * (1 / n1 + 1 / n0), 1e-12)
-    leaning = np.flatnonzero((odds >= lean) & (gain >= chi2))
+    firm = 2 * np.log(max(len(vocabulary), 2))  # about one chance feature among all that are tried
+    leaning = np.flatnonzero((odds >= lean) & (gain >= firm) & (df[1] >= support * n1))
     top = np.sort(leaning[np.lexsort((vocabulary[leaning], -gain[leaning]))[:terms]])
     chosen, odds = vocabulary[top], odds[top]
     x = np.zeros((len(y), len(chosen)), np.float32)
