@@ -7,6 +7,13 @@ from trialmart.plans.probes import INPUTS
 from trialmart.sources.derived import for_duckdb
 
 
+_MIXED = """
+WITH mixed AS (
+  SELECT c_custkey, c_mktsegment, CASE WHEN c_custkey % 3 = 0 THEN lower(n) ELSE n END AS spelled
+  FROM (SELECT *, n_name || CASE WHEN c_custkey % 2 = 0 THEN '  ' ELSE '' END AS n
+        FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey))"""
+
+
 def _w(*names: str) -> str:
     return "WITH " + ", ".join(f"{n} AS ({for_duckdb(INPUTS[n])})" for n in names) + "\n"
 
@@ -64,7 +71,7 @@ SELECT c.c_custkey, o.o_orderkey FROM customer c
 LEFT JOIN orders o ON o.o_custkey = c.c_custkey AND o.o_orderstatus = 'F' AND o.o_orderpriority = '1-URGENT'""",
     "left_join_on_predicate": """
 SELECT c.c_custkey, o.o_orderkey FROM customer c
-LEFT JOIN orders o ON o.o_custkey = c.c_custkey AND o.o_orderpriority = '2-HIGH' AND c.c_acctbal > 0""",
+LEFT JOIN orders o ON o.o_custkey = c.c_custkey AND c.c_acctbal > 0""",
     "eav_slots": """
 SELECT e.conv_id, t0.text AS turn0_text, t1.text AS turn1_text, t2.text AS turn2_text,
        lt.role AS late_user_role, lt.turn AS late_user_turn
@@ -162,9 +169,25 @@ SELECT c_custkey, substr(first_name, 1, 1) AS first_initial,
        last_name || ' ' || substr(first_name, 1, 1) AS last_initial FROM cust_text""",
     "fn_date_key": _w("order_text") + f"""
 SELECT o_orderkey, {DK('o_orderdate')} AS order_day, {DK('disc_dt')} AS disc_day FROM order_text""",
+    "lookup_collated": _MIXED + """
+SELECT c_custkey, spelled, n_nationkey AS nation_key
+FROM mixed LEFT JOIN nation ON lower(n_name) = rtrim(lower(spelled))""",
+    "distinct_collated": _MIXED + """
+SELECT min(spelled) AS spelled, c_mktsegment FROM (
+  SELECT spelled, min(c_mktsegment) OVER (PARTITION BY rtrim(lower(c_mktsegment))) AS c_mktsegment FROM mixed)
+GROUP BY rtrim(lower(spelled)), c_mktsegment""",
+    "sink_full_refresh": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders",
+    "sink_snapshot_history": """
+SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 5 <> 0 THEN stamp END AS "xDMrunDt", run_id
+FROM orders, (VALUES ('20240201060000', TIMESTAMP '2024-02-01 06:00:00'),
+                     ('20240202060000', TIMESTAMP '2024-02-02 06:00:00')) AS n(run_id, stamp)""",
     "fn_to_unsigned": _w("part_text") + f"""
-SELECT p_partkey, num_text, {U('num_text')} AS num_value, {U('rtrim(num_text)')} AS num_value_rtrim
-FROM part_text""",
+SELECT p_partkey, num_text, {U('num_text')} AS num_value, {U('rtrim(num_text)')} AS num_value_rtrim,
+  CAST(CASE WHEN num_text IS NULL THEN NULL WHEN d = '' THEN 0
+       ELSE least(CAST(d AS HUGEINT), 9223372036854775807) END AS BIGINT) AS saturated,
+  CAST(CASE WHEN num_text IS NULL THEN NULL WHEN d = '' THEN 0
+       ELSE least(CAST(d AS HUGEINT), 18446744073709551615) END AS VARCHAR) AS unsigned_text
+FROM (SELECT *, regexp_extract(num_text || '99999999999999999', '^\\s*([0-9]+)', 1) AS d FROM part_text)""",
     "fn_full_name": _w("cust_text") + f"""
 SELECT c_custkey, {FN('first_name', 'last_name')} AS full_name FROM cust_text""",
     "fn_last_first": _w("cust_text") + """

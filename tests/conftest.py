@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -11,6 +12,7 @@ SMOKE = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from trialmart import build_session
-    s = build_session("local[4]", shuffle_partitions=8)
+    s = build_session("local[4]", shuffle_partitions=8,
+                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="trialmart-test-ckpt-")})
     yield s
     s.stop()

@@ -9,7 +9,7 @@ from trialmart import operators as op
 def test_lookup_keeps_left_rows(spark):
     left = spark.createDataFrame([(1, 10), (2, None), (3, 99)], "id long, fk long")
     dim = spark.createDataFrame([(10, "ten")], "pk long, d string")
-    out = op.lookup(left, dim, ("fk", "pk"), {"d": ["d1", "d2"]}, broadcast=True)
+    out = op.lookup(left, dim, ("fk", "pk"), {"d": ["d1", "d2"]})
     assert sorted(out.collect()) == [(1, 10, "ten", "ten"), (2, None, None, None), (3, 99, None, None)]
 
 

@@ -1,4 +1,4 @@
-"""Every registered query against its DuckDB oracle at sf0.001."""
+"""Every registered library query against its DuckDB oracle at sf0.001."""
 
 import pytest
 
@@ -6,8 +6,8 @@ import __spark_entry__ as entry
 from tests.compare import compare, duck_connection
 from tests.conftest import SMOKE
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = entry.library_queries()
+ORACLE = entry.library_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -17,14 +17,28 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     n, problems = compare(QUERIES[name](spark, SMOKE), con, ORACLE[name])
     assert not problems, problems
+    assert n > 0
 
 
 def test_entry_smoke(spark):
     df = entry.entry(spark)
-    assert len(df.columns) == 71 and df.count() >= 0
+    assert len(df.columns) == 71 and df.count() > 0
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_marts_with_and_without_broadcasts(spark, con, threshold):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        for name in entry.MARTS:
+            _, problems = compare(QUERIES[name](spark, SMOKE), con, ORACLE[name])
+            assert not problems, (name, problems)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

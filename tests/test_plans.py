@@ -1,7 +1,15 @@
 """Plan assertions: the physical shape Catalyst picks for the operators."""
 
+import pytest
+from pyspark.sql import functions as F
+
 from tests.conftest import SMOKE
-from trialmart.plans import probes
+from trialmart import operators as op
+from trialmart.plans import MartBuild, probes
+from trialmart.plans.accrual import study_patient
+from trialmart.sources import from_testdata
+
+RUN_TS = "2024-02-01 06:00:00"
 
 
 def _plan(df):
@@ -29,3 +37,70 @@ def test_filters_reach_the_scan(spark):
 def test_latest_per_group_has_no_window(spark):
     plan = _plan(probes.latest_then_filter(spark, SMOKE))
     assert "Window" not in plan and "LeftSemi" in plan
+
+
+# --- hot keys ---------------------------------------------------------------------------
+
+SKEW = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+
+
+@pytest.fixture
+def skewed(spark):
+    before = {k: spark.conf.get(k, None) for k in SKEW}
+    for k, v in SKEW.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hot_study_is_split_in_statuses(skewed):
+    """M8: 70 % of the patients on one study; the inner part of the plan is split by AQE."""
+    layout = [("s", ["pkStudy_st", "title"]), ("p", [("patient", None)])]
+    study = skewed.range(50).selectExpr("id AS pkStudy_st", "repeat('t', 50) AS title")
+    patient = (skewed.range(20_000).repartition(8)
+               .selectExpr("IF(id % 10 < 7, 1L, id % 40) AS pkStudy_st", "CAST(id AS STRING) AS patient",
+                           "IF(id % 3 = 0, 'x', NULL) AS discontinueDt_pp"))
+    out = study_patient(study, patient, layout, RUN_TS, keep_studies_without_patients=True)
+    assert "skew=true" in _plan(out)
+    plain = (study.join(patient.withColumnRenamed("pkStudy_st", "k"), F.expr("pkStudy_st = k"), "left")
+             .where("discontinueDt_pp IS NULL").select("pkStudy_st", "title", "patient").distinct())
+    assert sorted(map(str, out.drop("xDMrunDt").collect())) == sorted(map(str, plain.collect()))
+
+
+def test_hot_key_is_dealt_over_tasks(skewed):
+    """M1, M4: the rows of one key on the many side reach several tasks, and no row is lost or doubled."""
+    left = skewed.range(60).selectExpr("IF(id = 59, NULL, id) AS k", "id AS l")
+    right = skewed.range(10_000).selectExpr("IF(id % 10 < 7, 3L, id % 50) AS r_k", "id AS r")
+    out = op.expand_left(left, right, "k", "r_k", "r")
+    plain = left.join(right, F.expr("k = r_k"), "left")
+    assert sorted(map(str, out.select("k", "l", "r").collect())) == sorted(map(str, plain.select("k", "l", "r").collect()))
+    tasks = out.where("k = 3").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks >= 4
+
+
+def test_eav_is_scanned_once(spark):
+    src = from_testdata(spark, SMOKE, ["er_studyid", "er_study"])
+    eav = src["er_studyid"]
+    slots = {f"s{t}": {"types": [t], "columns": {"studyid_id": f"v{t}"}} for t in (6068, 7109, 8004)}
+    out = op.eav_slots(src["er_study"].select("pk_study"), eav, "pk_study", slots)
+    once = eav.filter(F.col("fk_codelst_idtype").isin([6068, 7109, 8004])).select("fk_study")
+    leaves = lambda df: df._jdf.queryExecution().optimizedPlan().collectLeaves().size()
+    assert leaves(out) == leaves(src["er_study"].select("pk_study")) + leaves(once)
+    chain = src["er_study"].select("pk_study")
+    for t in (6068, 7109, 8004):
+        chain = op.lookup(chain, eav, ("pk_study", "fk_study"), {"studyid_id": f"v{t}"}, where=F.col("fk_codelst_idtype") == t)
+    assert sorted(map(str, out.collect())) == sorted(map(str, chain.collect()))
+
+
+def test_worklist_restricts_activity_first(spark):
+    build = MartBuild(from_testdata(spark, SMOKE), run_ts=RUN_TS)
+    plan = build.worklist._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    top = next(i for i, line in enumerate(lines) if "Join" in line)
+    assert not any("Aggregate" in line for line in lines[:top])  # no distinct above the last join
+    assert "LeftSemi" in plan

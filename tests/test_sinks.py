@@ -1,22 +1,108 @@
-"""Publishing and history idempotence."""
+"""Publishing, history and the nightly run."""
 
 import tempfile
 
-from trialmart.sinks import archive_snapshot, publish
+import pytest
+from pyspark.sql import functions as F
 
+from tests.conftest import SMOKE
+from trialmart.contracts import conform, declared
+from trialmart.operators import check_unique, eav_pivot
+from trialmart.plans.contracts import MART_SCHEMAS
+from trialmart.session import checkpoint_dir
+from trialmart.sinks import TABLES, archive_snapshot, publish, run_nightly, versions
+from trialmart.sources import SOURCE_TABLES, SourceSet, from_testdata
 
-def test_history_archive_is_idempotent(spark):
-    base = tempfile.mkdtemp(prefix="trialmart-test-")
-    snap = spark.sql("SELECT id, TIMESTAMP_NTZ '2024-02-01 06:00:00' AS xDMrunDt FROM range(5)")
-    path = publish(snap, base, "worklist", "20240201060000")
+
+def _folder():
+    return tempfile.mkdtemp(prefix="trialmart-test-")
+
+
+def test_history_archive_keeps_all_rows_once(spark):
+    base = _folder()
+    snap = spark.sql("SELECT id, IF(id % 2 = 0, TIMESTAMP_NTZ '2024-02-01 06:00:00', NULL) AS xDMrunDt FROM range(5)")
+    history = f"{base}/history"
+    for run in ("20240201060000", "20240202060000"):
+        path = publish(snap, base, "worklist", run)
+        archive_snapshot(spark, path, history, run)
+        archive_snapshot(spark, path, history, run)
+    rows = spark.read.parquet(history)
+    assert rows.count() == 10 and rows.where("xDMrunDt is null").count() == 4
+
+
+def test_half_written_partition_is_completed(spark):
+    base = _folder()
     history = f"{base}/history"
-    assert archive_snapshot(spark, path, history) == 1
-    assert archive_snapshot(spark, path, history) == 0
-    assert spark.read.parquet(history).count() == 5
+    path = publish(spark.range(7), base, "worklist", "1")
+    archive_snapshot(spark, publish(spark.range(2), base, "part", "1"), history, "1")
+    archive_snapshot(spark, path, history, "1")
+    assert spark.read.parquet(history).count() == 7
 
 
 def test_publish_new_version_and_repoint(spark):
-    base = tempfile.mkdtemp(prefix="trialmart-test-")
+    base = _folder()
     publish(spark.range(3), base, "m", "1", table="tm_publish_test")
     publish(spark.range(7), base, "m", "2", table="tm_publish_test")
     assert spark.table("tm_publish_test").count() == 7
+    assert versions(spark, base, "m") == ["1", "2"] and versions(spark, base, "none") == []
+
+
+def test_contract_is_checked(spark):
+    contract = declared("b bigint, A string")
+    df = spark.sql("SELECT 'x' AS a, 1L AS B, 2 AS more")
+    assert conform(df, contract, "t").columns == ["b", "A"]
+    with pytest.raises(ValueError, match="missing"):
+        conform(df.drop("a"), contract, "t")
+    with pytest.raises(ValueError, match="types differ"):
+        publish(df.withColumn("b", F.lit(1)), _folder(), "t", "1", contract=contract)
+
+
+def test_duplicate_keys_stop_the_run(spark):
+    twice = spark.sql("SELECT 1L AS pk_codelst, 'x' AS codelst_desc FROM range(2)")
+    with pytest.raises(ValueError, match="duplicate key"):
+        SourceSet({"er_codelst": twice}).check_keys()
+    with pytest.raises(ValueError, match="duplicate key"):
+        check_unique(twice, ["pk_codelst"])
+    with pytest.raises(ValueError, match="duplicate key"):
+        eav_pivot(twice, "pk_codelst", "pk_codelst", "codelst_desc", {1: "one"})
+
+
+def test_checkpoint_folder_must_be_named(spark):
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session())
+    assert checkpoint_dir(spark)
+
+
+def test_two_nights(spark):
+    """Keys stay, the reference grows by new names only, history holds night 1 once also after a rerun."""
+    base = _folder()
+    src = from_testdata(spark, SMOKE)
+    assert set(SOURCE_TABLES) == {n.lower() for n in src.names()}
+    spark.sql("CREATE DATABASE IF NOT EXISTS trialmart_nights")
+    spark.catalog.setCurrentDatabase("trialmart_nights")
+    try:
+        run_nightly(spark, src, base, "2024-02-01 06:00:00", tables=True)
+        first = {r.labdesc: r.lc_idx for r in spark.table("ref_labs_cpts").collect()}
+        night1 = spark.table("dm_PharmaPats_YDA").count()
+        labs = src["mq_labs_90days"]
+        new = labs.limit(1).withColumn("lab_name", F.lit("AAA NEW LAB"))
+        later = SourceSet({n: src[n] for n in src.names()} | {"mq_labs_90days": labs.unionByName(new)})
+        for _ in range(2):
+            run_nightly(spark, later, base, "2024-02-02 06:00:00", tables=True)
+            second = [(r.labdesc, r.lc_idx) for r in spark.table("ref_labs_cpts").collect()]
+            assert {n for n, _ in second} - set(first) == {"AAA NEW LAB"}
+            assert all(dict(second)[n] == k for n, k in first.items() if n is not None)
+            assert len({k for _, k in second}) == len(second)
+            history = spark.table("dm_PharmaPats_H")
+            assert history.count() == night1 and history.select("run_id").distinct().count() == 1
+        assert {t.name for t in spark.catalog.listTables()} >= {n.lower() for n in TABLES.values()}
+        assert spark.table("dm_patient_statuses").columns == MART_SCHEMAS["statuses"].names
+    finally:
+        spark.catalog.setCurrentDatabase("default")

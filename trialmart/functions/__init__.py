@@ -8,7 +8,7 @@ is NULL, a CASE whose condition is NULL takes the ELSE branch.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -37,17 +37,22 @@ def initial(c: ColumnOrName) -> Column:
     return F.substring(_c(c), 1, 1)
 
 
-def to_unsigned(c: ColumnOrName) -> Column:
+def to_unsigned(c: ColumnOrName, wide: bool = False) -> Column:
     """Number from text the lenient way (F-06).
 
     Leading blanks are skipped and the leading run of digits is the value;
     text without leading digits gives 0; NULL stays NULL.  ANSI ``cast``
     would raise on ``'12 '`` or ``'abc'``, so the digits are extracted first.
+    A number beyond the type gives its largest value: 2^63 - 1, or with
+    ``wide`` (decimal(20,0)) the largest unsigned 64-bit number, 2^64 - 1.
     """
     col = _c(c).cast("string")
-    digits = F.nullif(F.regexp_extract(col, r"^\s*([0-9]+)", 1), F.lit(""))
-    return (F.when(col.isNull(), F.lit(None).cast("bigint"))
-            .otherwise(F.coalesce(digits.try_cast("bigint"), F.lit(0).cast("bigint"))))
+    digits = F.regexp_extract(col, r"^\s*([0-9]+)", 1)
+    kind, largest = ("decimal(20,0)", 2 ** 64 - 1) if wide else ("bigint", 2 ** 63 - 1)
+    top = F.lit(str(largest)).cast(kind)
+    value = F.coalesce(digits.try_cast(kind), top)
+    return (F.when(col.isNull(), F.lit(None).cast(kind)).when(digits == "", F.lit(0).cast(kind))
+            .otherwise(F.least(value, top)))
 
 
 def date_key(c: ColumnOrName) -> Column:
@@ -161,3 +166,12 @@ def run_stamp(run_ts: _dt.datetime | str | None = None) -> Column:
     if isinstance(run_ts, str):
         run_ts = _dt.datetime.fromisoformat(run_ts)
     return F.lit(run_ts).cast("timestamp_ntz")
+
+
+def study_category(kind: Column, study_type: Column, interventional: Sequence, treatment: str) -> Column:
+    """Interventional treatment / other interventional / non-interventional; '' without a kind (F-23)."""
+    inside = kind.isin(list(interventional))
+    return (F.when(inside & (study_type == treatment), F.lit("Interventional Treatment"))
+            .when(inside & (study_type != treatment), F.lit("Interventional Non-Treatment"))
+            .when(~inside, F.lit("Non-Interventional"))
+            .when(kind.isNull(), F.lit("")))

@@ -1,15 +1,17 @@
 """Reusable DataFrame operators behind the marts.
 
-All operators are lazy plan fragments.  Scale notes that apply throughout:
+The operators are lazy plan fragments, except ``assign_keys`` (checkpoints the
+numbered rows) and ``check_unique`` / ``eav_pivot`` (one aggregate job).  Scale
+notes that apply throughout:
 
-* Dimension lookups take a ``broadcast`` switch.  Callers pass ``True`` only
-  for tables whose size was checked (see ``trialmart.sources.SourceSet``);
-  otherwise Spark picks the join from its size estimate and AQE's runtime
-  statistics, and falls back to a shuffle join for large sides.
+* No join is hinted.  Spark broadcasts a side whose size, estimated or measured
+  by AQE at run time, is below its byte threshold, and shuffles otherwise.
 * Aggregations are written so that Spark's partial (map-side) aggregation
   runs before the shuffle; nothing collects a group into one task.
 * Latest-per-group uses aggregate + semi join instead of a window, so a hot
   group is reduced map-side instead of being sorted in one task.
+* A left join to a many side with hot keys is ``expand_left``: AQE cannot split
+  the right side of an outer join, so the keys are salted.
 """
 
 from __future__ import annotations
@@ -36,8 +38,8 @@ def _as_pairs(on) -> list[tuple[str, str]]:
 
 
 def lookup(df: DataFrame, dim: DataFrame, on, columns: Mapping[str, str | Sequence[str]],
-           broadcast: bool = False, where: Column | None = None,
-           extra: Column | None = None) -> DataFrame:
+           where: Column | None = None, extra: Column | None = None,
+           collate: bool = False) -> DataFrame:
     """Left join ``df`` to ``dim`` and bring back renamed columns (JOI-01/02/03/07/08).
 
     ``on``      ``(fk, pk)`` or a list of such pairs (composite key).
@@ -47,6 +49,8 @@ def lookup(df: DataFrame, dim: DataFrame, on, columns: Mapping[str, str | Sequen
                 right-side constant predicate in ON; left rows are kept.
     ``extra``   additional ON predicate over left columns only (kept in the
                 condition, it never drops left rows).
+    ``collate`` compare the keys as text without case and trailing blanks
+                (``folded``); the default comparison is binary.
     The dimension is projected to key + requested columns first, so each
     role joins a narrow table; repeated roles reuse one broadcast exchange.
     """
@@ -64,11 +68,9 @@ def lookup(df: DataFrame, dim: DataFrame, on, columns: Mapping[str, str | Sequen
         for out in ([outs] if isinstance(outs, str) else outs):
             sel.append(F.col(src).alias(out))
     right = dim.select(*sel)
-    if broadcast:
-        right = F.broadcast(right)
     cond = None
     for (fk, _), k in zip(pairs, keys):
-        term = F.col(fk) == F.col(k)
+        term = folded(F.col(fk)) == folded(F.col(k)) if collate else F.col(fk) == F.col(k)
         cond = term if cond is None else cond & term
     if extra is not None:
         cond = cond & extra
@@ -76,14 +78,50 @@ def lookup(df: DataFrame, dim: DataFrame, on, columns: Mapping[str, str | Sequen
 
 
 def lookup_roles(df: DataFrame, dim: DataFrame, pk: str,
-                 roles: Mapping[str, Mapping[str, str | Sequence[str]]],
-                 broadcast: bool = False) -> DataFrame:
+                 roles: Mapping[str, Mapping[str, str | Sequence[str]]]) -> DataFrame:
     """The same dimension joined once per role (JOI-02): ``{fk: {dim_col: out}}``."""
     for fk, cols in roles.items():
-        df = lookup(df, dim, (fk, pk), cols, broadcast=broadcast)
+        df = lookup(df, dim, (fk, pk), cols)
     return df
 
 
+def folded(text: Column) -> Column:
+    """Text as a case-insensitive, blank-padding collation compares it: lower case, no trailing blanks."""
+    return F.rtrim(F.lower(text))
+
+
+def distinct_collated(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Distinct rows of ``columns`` with text compared by ``folded``; the smallest spelling stands for its class.
+
+    Rows are grouped by the folded values (a map-side combined ``min``), so a
+    frequent value is reduced before the shuffle.
+    """
+    text = {f.name for f in df.schema if f.dataType.simpleString() == "string"}
+    keys = [(folded(F.col(c)) if c in text else F.col(c)).alias(f"__g{i}") for i, c in enumerate(columns)]
+    grouped = df.groupBy(*keys).agg(F.min(F.struct(*columns)).alias("__row"))
+    return grouped.select(*[F.col("__row").getField(c).alias(c) for c in columns])
+
+
+def expand_left(df: DataFrame, right: DataFrame, key: str, right_key: str, spread_by: str,
+                salts: int = 32) -> DataFrame:
+    """Left join to a many side whose keys may be hot.
+
+    The right rows of a key are dealt over ``salts`` sub-keys by a hash of
+    ``spread_by``; a left row is repeated for the sub-keys that its key really
+    has (one set of at most ``salts`` numbers per key, combined map-side), so a
+    key with a third of all rows is joined in up to ``salts`` tasks.  Left rows
+    without a match are kept once, with NULLs.
+    """
+    salt, have, here = _fresh("__salt"), _fresh("__have"), _fresh("__here")
+    right = right.withColumn(salt, F.pmod(F.xxhash64(spread_by), F.lit(salts)))
+    rk = _fresh("__rk")
+    present = right.groupBy(F.col(right_key).alias(rk)).agg(F.collect_set(salt).alias(have))
+    df = (df.join(present, F.col(key) == F.col(rk), "left").drop(rk)
+          .withColumn(here, F.explode_outer(have)).drop(have))
+    on = (F.col(key) == F.col(right_key)) & (F.col(here) == F.col(salt))
+    return df.join(right, on, "left").drop(here, salt)
+
+
 def string_list(df: DataFrame, key: str, value: str, sep: str = " | ",
                 out: str = "value_list") -> DataFrame:
     """Distinct values per key joined by ``sep`` in value order (AGG-01).
@@ -146,18 +184,29 @@ def eav_slots(df: DataFrame, eav: DataFrame, key: str, slots: Mapping[str, Mappi
     """Attribute slots from an entity-attribute-value table (JOI-09, faithful form).
 
     ``slots`` maps a slot name to ``{"types": [...], "value": <value filter or
-    None>, "columns": {eav_col: output}}``.  Each slot is one left join of the
-    entity to the rows of its type(s); a slot with several rows for an entity
-    fans out, exactly like one filtered join per attribute.  Each slot's type
-    filter reaches the scan (pushed filter), so a slot only moves its own
-    rows: broadcast when small, otherwise a shuffle join on the entity key
-    whose entity side keeps one hash partitioning through the chain.
+    None>, "columns": {eav_col: output}}``.  The table is scanned once, for the
+    types of all slots, and one aggregate per entity collects the rows of every
+    slot (as many as the entity has attribute rows); after one left join each
+    slot is exploded, so a slot with several rows for an entity fans out,
+    exactly like one filtered join per attribute, and one without rows gives
+    NULLs.
     """
-    for spec in slots.values():
+    match = {}
+    for name, spec in slots.items():
         cond = F.col(type_col).isin(list(spec["types"]))
         if spec.get("value") is not None:
             cond = cond & (F.col(value_col) == F.lit(spec["value"]))
-        df = lookup(df, eav.select(fk, type_col, value_col), (key, fk), spec["columns"], where=cond)
+        match[name] = cond
+    types = sorted({t for spec in slots.values() for t in spec["types"]})
+    ent = _fresh("__ent")
+    lists = [F.collect_list(F.when(cond, F.struct(*slots[name]["columns"]))).alias(f"__slot_{name}")
+             for name, cond in match.items()]
+    wide = eav.filter(F.col(type_col).isin(types)).groupBy(F.col(fk).alias(ent)).agg(*lists)
+    df = df.join(wide, F.col(key) == F.col(ent), "left").drop(ent)
+    for name, spec in slots.items():
+        slot = f"__slot_{name}"
+        df = df.withColumn(slot, F.explode_outer(slot))
+        df = df.withColumns({out: F.col(slot).getField(c) for c, out in spec["columns"].items()}).drop(slot)
     return df
 
 
@@ -165,11 +214,13 @@ def eav_pivot(eav: DataFrame, fk: str, type_col: str, value_col: str,
               types: Mapping[int, str]) -> DataFrame:
     """One row per entity with one column per attribute type (JOI-09, pivot form).
 
-    Only equivalent to the faithful form when (entity, type) is unique; the
-    pivot values are listed so Spark does not scan for them first.
+    Only equivalent to the faithful form when (entity, type) is unique, which
+    is checked (``check_unique``, one aggregate job); the pivot values are
+    listed so Spark does not scan for them first.
     """
-    wide = (eav.filter(F.col(type_col).isin(list(types)))
-            .groupBy(fk).pivot(type_col, list(types)).agg(F.first(value_col)))
+    rows = eav.filter(F.col(type_col).isin(list(types)) & F.col(fk).isNotNull())
+    check_unique(rows, [fk, type_col], "attribute pivot")
+    wide = rows.groupBy(fk).pivot(type_col, list(types)).agg(F.first(value_col))
     return wide.select(fk, *[F.col(str(t)).alias(name) for t, name in types.items()])
 
 
@@ -214,7 +265,7 @@ def assign_keys(new_rows: DataFrame, existing: DataFrame, key_col: str,
         F.coalesce(F.sum("__n").over(
             Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         .alias("__off"))
-    out = (numbered.join(F.broadcast(offsets), "__pid")
+    out = (numbered.join(F.broadcast(offsets), "__pid")  # one row per partition
            .withColumn(key_col, (base + F.col("__off") + F.col("__rn")).cast("bigint")))
     return out.drop("__id", "__pid", "__rn", "__off")
 
@@ -229,9 +280,3 @@ def check_unique(df: DataFrame, keys: Sequence[str], name: str = "") -> DataFram
     if dup:
         raise ValueError(f"duplicate key {dict(dup[0].asDict())} in {name or keys}")
     return df
-
-
-def duplicate_key_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that occur more than once with their counts (quality report)."""
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
-            .filter(F.col("n_rows") > 1))

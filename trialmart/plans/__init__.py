@@ -76,16 +76,15 @@ class MartBuild:
     @cached_property
     def lab_refs(self) -> DataFrame:
         return register_new_codes(self.src["mq_labs_90days"], self.src["ref_labs_cpts"],
-                                  self.run_ts, self.lab_code_mode,
-                                  self.src.small("ref_labs_cpts"))
+                                  self.run_ts, self.lab_code_mode)
 
     @cached_property
     def worklist(self) -> DataFrame:
+        patients = industrial_patients(self.study_current, self.patient)
         activity = emr_activity(self.src["mq_appointments"], self.src["mq_chemos"],
-                                self.src["mq_labs"])
-        return build_worklist(activity, industrial_patients(self.study_current, self.patient),
-                              self.lab_refs, current_calendar_names(self.calendar), self.run_ts,
-                              self.src.small("ref_labs_cpts"))
+                                self.src["mq_labs"], patients)
+        return build_worklist(activity, patients, self.lab_refs,
+                              current_calendar_names(self.calendar), self.run_ts)
 
     MARTS = ["study", "study_current", "patient", "calendar", "study_team", "accruals",
              "enrollments", "statuses", "lab_refs", "worklist"]

@@ -12,7 +12,8 @@ larger) join output.
   null-rejecting, so the left join is an inner join (JOI-14).
 * M8: left join, then ``discontinueDt_pp IS NULL`` *after* the join: studies
   without patients stay, a study whose patients are all discontinued drops
-  out (JOI-15).
+  out (JOI-15).  Written as inner join plus anti join, because AQE cannot split
+  a hot study on the right side of an outer join.
 """
 
 from __future__ import annotations
@@ -119,23 +120,23 @@ def study_patient(study_current: DataFrame, patient: DataFrame, layout, run_ts=N
     p_exprs += [(F.col(n) if e is None else e(F.col)).alias(n) for n, e in p_items]
     names = [c if side == "s" else c[0] for side, block in layout for c in block]
     order = [F.col(n) for n in names]
+    stamp = fn.run_stamp(run_ts).alias("xDMrunDt")
     if keep_studies_without_patients:
-        p_exprs.append(F.col("discontinueDt_pp").alias("__p_disc"))
-        patient_side = patient.select(*p_exprs).distinct()
-        joined = (study_side.join(patient_side, F.col("pkStudy_st") == F.col("__p_study"), "left")
-                  .filter(F.col("__p_disc").isNull()))
-        # a study without patients gets what the expression yields on NULL
-        # inputs (e.g. the null-safe patient name is ' '), as when it is
-        # evaluated after the outer join
-        null_in = lambda name: F.lit(None).cast("string")
-        computed = {n: e for n, e in p_items if e is not None}
-        order = [F.when(F.col("__p_study").isNull(), computed[n](null_in))
-                 .otherwise(F.col(n)).alias(n) if n in computed else F.col(n)
-                 for n in names]
-    else:
-        patient_side = _current_enrolled(patient).select(*p_exprs).distinct()
-        joined = study_side.join(patient_side, F.col("pkStudy_st") == F.col("__p_study"), "inner")
-    return joined.select(*order, fn.run_stamp(run_ts).alias("xDMrunDt"))
+        # inner join (which AQE splits at a hot study) plus the studies that no
+        # patient has; a study whose patients are all discontinued is in neither
+        kept = patient.filter(F.col("discontinueDt_pp").isNull()).select(*p_exprs).distinct()
+        joined = study_side.join(kept, F.col("pkStudy_st") == F.col("__p_study"), "inner")
+        with_any = patient.select(F.col("pkStudy_st").alias("__p_study")).distinct()
+        alone = study_side.join(with_any, F.col("pkStudy_st") == F.col("__p_study"), "left_anti")
+        # there an expression has its value on NULL inputs (e.g. the null-safe
+        # patient name is ' '), as when it is evaluated after the outer join
+        missing = {n: F.lit(None).cast(kept.schema[n].dataType) if e is None else e(lambda _: F.lit(None).cast("string"))
+                   for n, e in p_items}
+        rest = alone.select(*[missing[n].alias(n) if n in missing else F.col(n) for n in names], stamp)
+        return joined.select(*order, stamp).union(rest)
+    patient_side = _current_enrolled(patient).select(*p_exprs).distinct()
+    joined = study_side.join(patient_side, F.col("pkStudy_st") == F.col("__p_study"), "inner")
+    return joined.select(*order, stamp)
 
 
 def build_accruals(study_current: DataFrame, patient: DataFrame, run_ts=None) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trialmart import functions as fn
-from trialmart.operators import latest_per_group, lookup
+from trialmart.operators import expand_left, latest_per_group, lookup
 from trialmart.sources import SourceSet
 
 # Fixed code values: calendar statuses Active and Reactivated.
@@ -37,7 +37,6 @@ def latest_calendar_status(protstat: DataFrame, since: str = CALENDAR_SINCE) ->
 def build_calendar(src: SourceSet, run_ts=None, since: str = CALENDAR_SINCE) -> DataFrame:
     """M4 ``dm_calendar`` (57 columns)."""
     users, sch = src["er_user"], src["sch_codelst"]
-    bc_u, bc_sch = src.small("er_user"), src.small("sch_codelst")
 
     ea = src["event_assoc"].select(
         F.col("event_id").alias("__ea_id"), F.col("chain_id").alias("__ea_chain"),
@@ -66,25 +65,28 @@ def build_calendar(src: SourceSet, run_ts=None, since: str = CALENDAR_SINCE) ->
         F.col("creator").alias("__ses_creator"), F.col("last_modified_by").alias("__ses_modby"),
         F.col("created_on").alias("__ses_created"), F.col("last_modified_date").alias("__ses_modified"))
 
-    df = (ea.join(sps, F.col("__ea_id") == F.col("__sps_event"), "inner")
-          .join(se1, F.col("__ea_id") == F.col("__se1_session"), "inner")
-          .join(ses, F.col("__se1_id") == F.col("__ses_event"), "inner"))
+    # the scheduled events of a hot calendar are dealt over sub-keys; the
+    # calendars (one row per status) are the side that is repeated
+    calendars = ea.join(sps, F.col("__ea_id") == F.col("__sps_event"), "inner")
+    events = se1.join(ses, F.col("__se1_id") == F.col("__ses_event"), "inner")
+    df = expand_left(calendars, events, "__ea_id", "__se1_session", "__se1_id")
+    df = df.filter(F.col("__se1_session").isNotNull())
 
     for fk, p in [("__sps_stat", "__calstat"), ("__se1_cover", "__cover"), ("__ses_stat", "__estat")]:
         df = lookup(df, sch, (fk, "pk_codelst"),
-                    {"codelst_subtyp": f"{p}_sub", "codelst_desc": f"{p}_desc"}, bc_sch)
+                    {"codelst_subtyp": f"{p}_sub", "codelst_desc": f"{p}_desc"})
     df = lookup(df, src["person"], ("__se1_patient", "pk_person"),
                 {"pk_person": "pkPerson_p", "person_code": "personCode_p",
                  "person_fname": "patFirst_p", "person_mname": "patMiddle_p",
-                 "person_lname": "patLast_p", "person_dob": "birthDt_p"}, src.small("person"))
+                 "person_lname": "patLast_p", "person_dob": "birthDt_p"})
     df = lookup(df, src["er_study"], ("__ea_chain", "pk_study"),
                 {"pk_study": "pkStudyID_st", "study_number": "studyNumber_st",
-                 "study_title": "studyTitle_st"}, src.small("er_study"))
+                 "study_title": "studyTitle_st"})
     for fk, p in [("__ea_creator", "__ea_cu"), ("__ea_modby", "__ea_mu"),
                   ("__se1_creator", "__se1_cu"), ("__se1_modby", "__se1_mu"),
                   ("__ses_creator", "__ses_cu"), ("__ses_modby", "__ses_mu"),
                   ("__sps_creator", "__sps_cu"), ("__sps_modby", "__sps_mu")]:
-        df = lookup(df, users, (fk, "pk_user"), _names(p), bc_u)
+        df = lookup(df, users, (fk, "pk_user"), _names(p))
 
     return df.select(
         F.col("__ea_id").alias("pkEventID_ea"),

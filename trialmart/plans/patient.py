@@ -31,7 +31,7 @@ def additional_race(src: SourceSet) -> DataFrame:
     races = src["er_person_add_race"].filter(fn.not_blank("person_add_race"))
     races = races.withColumn("__race_key", fn.to_unsigned("person_add_race"))
     races = lookup(races, src["er_codelst"], ("__race_key", "pk_codelst"),
-                   {"codelst_desc": "__race_desc"}, src.small("er_codelst"))
+                   {"codelst_desc": "__race_desc"})
     return (string_list(races, "fk_person", "__race_desc", out="raceAdditional_p_lu")
             .withColumnRenamed("fk_person", "__race_person"))
 
@@ -39,31 +39,30 @@ def additional_race(src: SourceSet) -> DataFrame:
 def build_patient(src: SourceSet, run_ts=None) -> DataFrame:
     """M3 ``dm_patient`` (93 columns)."""
     codes, users, sites = src["er_codelst"], src["er_user"], src["er_site"]
-    bc_c, bc_u, bc_s = src.small("er_codelst"), src.small("er_user"), src.small("er_site")
 
     pp = src["er_patprot"].filter(F.col("patprot_stat") == ACTIVE_PROTOCOL_STAT)
     pp = lookup(pp, src["er_study"].select("pk_study", "study_number"), ("fk_study", "pk_study"),
-                {"pk_study": "__st_pk", "study_number": "__st_number"}, src.small("er_study"))
+                {"pk_study": "__st_pk", "study_number": "__st_number"})
     pp = lookup(pp, sites, ("fk_site_enrolling", "pk_site"),
-                {"site_name": "__enroll_site", "fk_codelst_type": "__enroll_site_type"}, bc_s)
-    pp = lookup(pp, codes, ("__enroll_site_type", "pk_codelst"), {"codelst_desc": "__stype"}, bc_c)
+                {"site_name": "__enroll_site", "fk_codelst_type": "__enroll_site_type"})
+    pp = lookup(pp, codes, ("__enroll_site_type", "pk_codelst"), {"codelst_desc": "__stype"})
     for fk, role in [("fk_user", "__enroll"), ("fk_userassto", "__assign"),
                      ("patprot_physician", "__phys"), ("creator", "__ppcreate"),
                      ("last_modified_by", "__ppmod")]:
-        pp = lookup(pp, users, (fk, "pk_user"), _user_cols(role), bc_u)
-    pp = lookup(pp, codes, ("fk_codelstloc", "pk_codelst"), {"codelst_desc": "__treatloc"}, bc_c)
-    pp = lookup(pp, sites, ("patprot_treatingorg", "pk_site"), {"site_name": "__treatorg"}, bc_s)
-    pp = lookup(pp, codes, ("fk_codelst_ptst_dth_stdrel", "pk_codelst"), {"codelst_desc": "__dthrel"}, bc_c)
-    pp = lookup(pp, codes, ("patprot_othr_dis_code", "pk_codelst"), {"codelst_desc": "__othdis"}, bc_c)
+        pp = lookup(pp, users, (fk, "pk_user"), _user_cols(role))
+    pp = lookup(pp, codes, ("fk_codelstloc", "pk_codelst"), {"codelst_desc": "__treatloc"})
+    pp = lookup(pp, sites, ("patprot_treatingorg", "pk_site"), {"site_name": "__treatorg"})
+    pp = lookup(pp, codes, ("fk_codelst_ptst_dth_stdrel", "pk_codelst"), {"codelst_desc": "__dthrel"})
+    pp = lookup(pp, codes, ("patprot_othr_dis_code", "pk_codelst"), {"codelst_desc": "__othdis"})
 
     # patient study status records: joined on person and the *looked-up* study key
     pss = src["er_patstudystat"]
-    pss = lookup(pss, codes, ("fk_codelst_stat", "pk_codelst"), {"codelst_desc": "__pss_stat"}, bc_c)
-    pss = lookup(pss, codes, ("screening_outcome", "pk_codelst"), {"codelst_desc": "__pss_scrout"}, bc_c)
-    pss = lookup(pss, codes, ("patstudystat_reason", "pk_codelst"), {"codelst_desc": "__pss_reason"}, bc_c)
+    pss = lookup(pss, codes, ("fk_codelst_stat", "pk_codelst"), {"codelst_desc": "__pss_stat"})
+    pss = lookup(pss, codes, ("screening_outcome", "pk_codelst"), {"codelst_desc": "__pss_scrout"})
+    pss = lookup(pss, codes, ("patstudystat_reason", "pk_codelst"), {"codelst_desc": "__pss_reason"})
     for fk, role in [("screened_by", "__screener"), ("creator", "__psscreate"),
                      ("last_modified_by", "__pssmod")]:
-        pss = lookup(pss, users, (fk, "pk_user"), _user_cols(role), bc_u)
+        pss = lookup(pss, users, (fk, "pk_user"), _user_cols(role))
     pss = pss.select(
         F.col("fk_per").alias("__pss_per"), F.col("fk_study").alias("__pss_study"),
         F.col("pk_patstudystat").alias("pkPatStudyStat_pps"),
@@ -87,7 +86,7 @@ def build_patient(src: SourceSet, run_ts=None) -> DataFrame:
     )
 
     pf = lookup(src["er_patfacility"], users, ("patfacility_provider", "pk_user"),
-                _user_cols("__prov"), bc_u)
+                _user_cols("__prov"))
     pf = pf.select(
         F.col("fk_per").alias("__pf_per"), F.col("fk_site").alias("pkSiteFacility_s"),
         F.col("pat_facilityid").alias("facilityID_pf"),
@@ -103,18 +102,18 @@ def build_patient(src: SourceSet, run_ts=None) -> DataFrame:
     for fk, out in [("fk_codelst_pstat", "__pstat"), ("fk_codelst_pat_dth_cause", "__dthcause"),
                     ("fk_codelst_gender", "__gender"), ("fk_codelst_ethnicity", "__ethnicity"),
                     ("fk_codelst_race", "__race")]:
-        person = lookup(person, codes, (fk, "pk_codelst"), {"codelst_desc": out}, bc_c)
+        person = lookup(person, codes, (fk, "pk_codelst"), {"codelst_desc": out})
     person = person.withColumn(
         "__eth_key", F.when(fn.not_blank("person_add_ethnicity"),
                             fn.to_unsigned(F.rtrim("person_add_ethnicity"))))
-    person = lookup(person, codes, ("__eth_key", "pk_codelst"), {"codelst_desc": "__eth_add"}, bc_c)
-    person = lookup(person, sites, ("fk_site", "pk_site"), {"site_name": "__regsite"}, bc_s)
+    person = lookup(person, codes, ("__eth_key", "pk_codelst"), {"codelst_desc": "__eth_add"})
+    person = lookup(person, sites, ("fk_site", "pk_site"), {"site_name": "__regsite"})
     for fk, role in [("person_regby", "__regby"), ("creator", "__pcreate"),
                      ("last_modified_by", "__pmod")]:
-        person = lookup(person, users, (fk, "pk_user"), _user_cols(role), bc_u)
+        person = lookup(person, users, (fk, "pk_user"), _user_cols(role))
     disease = lookup(src["pat_perid"].filter(F.col("fk_codelst_idtype") == DISEASE_TYPE_ID),
                      src["ref_disease_site"], ("perid_id", "value"),
-                     {"description": "diseaseType_pid_lu"}, src.small("ref_disease_site"))
+                     {"description": "diseaseType_pid_lu"})
     person = person.join(disease.select(F.col("fk_per").alias("__pid_per"), "diseaseType_pid_lu"),
                          F.col("pk_person") == F.col("__pid_per"), "left")
     person = person.join(additional_race(src), F.col("pk_person") == F.col("__race_person"), "left")

@@ -8,6 +8,7 @@ injected inputs come from the same SQL text (``INPUTS``) on both sides.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 
 from trialmart import functions as fn
 from trialmart import operators as op
+from trialmart import sinks
+from trialmart.session import checkpoint_dir
 from trialmart.sources.derived import for_spark
 
 RUN_TS = "2024-02-01 06:00:00"
@@ -72,17 +75,15 @@ def lookup_code(spark, sf):
     c = _t(spark, sf, "customer").withColumn(
         "fk", F.when(F.col("c_custkey") % 13 == 0, None)
         .when(F.col("c_custkey") % 11 == 0, F.lit(99)).otherwise(F.col("c_nationkey")).cast("bigint"))
-    out = op.lookup(c, _t(spark, sf, "nation"), ("fk", "n_nationkey"), {"n_name": "nation_name"},
-                    broadcast=True)
+    out = op.lookup(c, _t(spark, sf, "nation"), ("fk", "n_nationkey"), {"n_name": "nation_name"})
     return out.select("c_custkey", "fk", "nation_name")
 
 
 def lookup_chained(spark, sf):
     c = _t(spark, sf, "customer")
     c = op.lookup(c, _t(spark, sf, "nation"), ("c_nationkey", "n_nationkey"),
-                  {"n_name": "nation_name", "n_regionkey": "__region"}, broadcast=True)
-    c = op.lookup(c, _t(spark, sf, "region"), ("__region", "r_regionkey"), {"r_name": "region_name"},
-                  broadcast=True)
+                  {"n_name": "nation_name", "n_regionkey": "__region"})
+    c = op.lookup(c, _t(spark, sf, "region"), ("__region", "r_regionkey"), {"r_name": "region_name"})
     return c.select("c_custkey", "nation_name", "region_name")
 
 
@@ -99,12 +100,10 @@ def lookup_multi_role(spark, sf):
     o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey")
     o = op.lookup(o, _t(spark, sf, "customer"), ("o_custkey", "c_custkey"), {"c_nationkey": "__cn"})
     li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
-    li = op.lookup(li, _t(spark, sf, "supplier"), ("l_suppkey", "s_suppkey"), {"s_nationkey": "__sn"},
-                   broadcast=True)
+    li = op.lookup(li, _t(spark, sf, "supplier"), ("l_suppkey", "s_suppkey"), {"s_nationkey": "__sn"})
     li = op.lookup(li, o, ("l_orderkey", "o_orderkey"), {"__cn": "__cn"})
     li = op.lookup_roles(li, nation, "n_nationkey",
-                         {"__sn": {"n_name": "supplier_nation"}, "__cn": {"n_name": "customer_nation"}},
-                         broadcast=True)
+                         {"__sn": {"n_name": "supplier_nation"}, "__cn": {"n_name": "customer_nation"}})
     return li.select("l_orderkey", "l_linenumber", "l_suppkey", "supplier_nation", "customer_nation")
 
 
@@ -113,11 +112,11 @@ def lookup_reference(spark, sf):
     ref = (o.select(F.substring("o_orderpriority", 1, 1).alias("value"),
                     F.col("o_orderpriority").alias("description"),
                     (F.substring("o_orderpriority", 1, 1).cast("bigint") * 10).alias("report_sort"))
-           .filter(F.col("value") != "3").distinct())
+           .distinct()
+           .withColumn("value", F.when(F.col("value") != "3", F.col("value"))))
     o = o.withColumn("code", F.substring("o_orderpriority", 1, 1))
     return op.lookup(o, ref, ("code", "value"),
-                     {"description": "priority_name", "report_sort": "priority_sort"},
-                     broadcast=True).select("o_orderkey", "code", "priority_name", "priority_sort")
+                     {"description": "priority_name", "report_sort": "priority_sort"}).select("o_orderkey", "code", "priority_name", "priority_sort")
 
 
 def self_join_parent(spark, sf):
@@ -133,8 +132,8 @@ def self_join_text_key(spark, sf):
 
 
 def left_join_expand(spark, sf):
-    o = _t(spark, sf, "orders").filter(F.col("o_custkey") % 3 != 0)
-    return op.lookup(_t(spark, sf, "customer").select("c_custkey"), o, ("c_custkey", "o_custkey"),
+    o = _t(spark, sf, "orders").withColumn("__k", F.when(F.col("o_custkey") % 3 != 0, F.col("o_custkey")))
+    return op.lookup(_t(spark, sf, "customer").select("c_custkey"), o, ("c_custkey", "__k"),
                      {"o_orderkey": "o_orderkey"})
 
 
@@ -142,7 +141,7 @@ def left_join_composite(spark, sf):
     li = _t(spark, sf, "lineitem")
     agg = (li.groupBy("l_orderkey", "l_suppkey")
            .agg(F.count(F.lit(1)).alias("n_lines"), F.max("l_linenumber").cast("bigint").alias("max_line"))
-           .filter(F.col("l_suppkey") % 4 != 0))
+           .withColumn("l_suppkey", F.when(F.col("l_suppkey") % 4 != 0, F.col("l_suppkey"))))
     out = op.lookup(li.select("l_orderkey", "l_linenumber", "l_suppkey"), agg,
                     [("l_orderkey", "l_orderkey"), ("l_suppkey", "l_suppkey")],
                     {"n_lines": "n_lines", "max_line": "max_line"})
@@ -157,8 +156,7 @@ def left_join_filtered_right(spark, sf):
 
 def left_join_on_predicate(spark, sf):
     c = _t(spark, sf, "customer").select("c_custkey", "c_acctbal")
-    out = op.lookup(c, _t(spark, sf, "orders").filter(F.col("o_orderpriority") == "2-HIGH"),
-                    ("c_custkey", "o_custkey"), {"o_orderkey": "o_orderkey"},
+    out = op.lookup(c, _t(spark, sf, "orders"), ("c_custkey", "o_custkey"), {"o_orderkey": "o_orderkey"},
                     extra=F.col("c_acctbal") > 0)
     return out.select("c_custkey", "o_orderkey")
 
@@ -176,14 +174,8 @@ def _conversation_slots():
 def eav_slots(spark, sf):
     conv = _t(spark, sf, "conversations")
     entities = conv.select("conv_id").distinct()
-    eav = conv.select("conv_id", "turn", "role", "text")
-    df = entities
-    for spec in _conversation_slots().values():
-        cond = F.col("turn").isin(spec["types"])
-        if spec.get("value") is not None:
-            cond = cond & (F.col("role") == spec["value"])
-        df = op.lookup(df, eav, ("conv_id", "conv_id"), spec["columns"], where=cond)
-    return df
+    return op.eav_slots(entities, conv, "conv_id", _conversation_slots(), fk="conv_id",
+                        type_col="turn", value_col="role")
 
 
 def eav_pivot(spark, sf):
@@ -209,8 +201,8 @@ def left_join_null_rejecting(spark, sf):
 
 
 def left_join_isnull_kept(spark, sf):
-    o = (_input(spark, sf, "order_text").filter(F.col("o_custkey") % 3 != 0)
-         .select("o_custkey", "o_orderkey", "disc_dt"))
+    o = _input(spark, sf, "order_text").select(
+        F.when(F.col("o_custkey") % 3 != 0, F.col("o_custkey")).alias("o_custkey"), "o_orderkey", "disc_dt")
     c = _t(spark, sf, "customer").select("c_custkey")
     return (c.join(o, F.col("c_custkey") == F.col("o_custkey"), "left")
             .filter(F.col("disc_dt").isNull()).select("c_custkey", "o_orderkey"))
@@ -379,8 +371,11 @@ def fn_date_key(spark, sf):
 
 def fn_to_unsigned(spark, sf):
     p = _input(spark, sf, "part_text")
+    huge = F.concat("num_text", F.lit("9" * 17))
     return p.select("p_partkey", "num_text", fn.to_unsigned("num_text").alias("num_value"),
-                    fn.to_unsigned(F.rtrim("num_text")).alias("num_value_rtrim"))
+                    fn.to_unsigned(F.rtrim("num_text")).alias("num_value_rtrim"),
+                    fn.to_unsigned(huge).alias("saturated"),
+                    fn.to_unsigned(huge, wide=True).cast("string").alias("unsigned_text"))
 
 
 def fn_full_name(spark, sf):
@@ -437,11 +432,7 @@ def case_code_map_null(spark, sf):
 
 def case_category(spark, sf):
     p = _input(spark, sf, "part_text")
-    t, s = F.col("category_type"), F.col("study_type")
-    cat = (F.when(t.isin(7111, 7112) & (s == "TRE"), "Interventional Treatment")
-           .when(t.isin(7111, 7112) & (s != "TRE"), "Interventional Non-Treatment")
-           .when(~t.isin(7111, 7112), "Non-Interventional")
-           .when(t.isNull(), ""))
+    cat = fn.study_category(F.col("category_type"), F.col("study_type"), [7111, 7112], "TRE")
     return p.select("p_partkey", cat.alias("category"))
 
 
@@ -486,6 +477,48 @@ def check_unique_key(spark, sf):
     return op.check_unique(o, ["o_orderkey"], "orders")
 
 
+# --- collation -----------------------------------------------------------------------
+
+def _mixed_case(spark, sf):
+    """Nation names in changing spelling: lower case, upper case, trailing blanks."""
+    name = F.concat("n_name", F.when(F.col("c_custkey") % 2 == 0, F.lit("  ")).otherwise(F.lit("")))
+    c = op.lookup(_t(spark, sf, "customer"), _t(spark, sf, "nation"), ("c_nationkey", "n_nationkey"), {"n_name": "n_name"})
+    return c.select("c_custkey", "c_mktsegment", F.when(F.col("c_custkey") % 3 == 0, F.lower(name)).otherwise(name).alias("spelled"))
+
+
+def lookup_collated(spark, sf):
+    out = op.lookup(_mixed_case(spark, sf), _t(spark, sf, "nation"), ("spelled", "n_name"),
+                    {"n_nationkey": "nation_key"}, collate=True)
+    return out.select("c_custkey", "spelled", "nation_key")
+
+
+def distinct_collated(spark, sf):
+    return op.distinct_collated(_mixed_case(spark, sf), ["spelled", "c_mktsegment"])
+
+
+# --- sinks ---------------------------------------------------------------------------
+
+def sink_full_refresh(spark, sf):
+    """Two refreshes of one mart; the second version is what readers get."""
+    base = f"{checkpoint_dir(spark)}/probe-{uuid.uuid4()}"
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    sinks.publish(o.withColumn("o_orderstatus", F.lit("?")), base, "orders", "20240201060000")
+    path = sinks.publish(o, base, "orders", "20240202060000")
+    return spark.read.parquet(path)
+
+
+def sink_snapshot_history(spark, sf):
+    """Two nightly snapshots in history, the first archived twice; some rows have no stamp."""
+    base = f"{checkpoint_dir(spark)}/probe-{uuid.uuid4()}"
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    for night in ("20240201060000", "20240202060000"):
+        stamp = F.when(F.col("o_orderkey") % 5 != 0, F.to_timestamp_ntz(F.lit(night), F.lit("yyyyMMddHHmmss")))
+        path = sinks.publish(o.withColumn("xDMrunDt", stamp), base, "worklist", night)
+        for _ in range(2):
+            sinks.archive_snapshot(spark, path, f"{base}/history", night)
+    return spark.read.parquet(f"{base}/history").select("o_orderkey", "o_orderstatus", "xDMrunDt", F.col("run_id").cast("string"))
+
+
 def run_stamp(spark, sf):
     return _t(spark, sf, "region").select("r_regionkey", fn.run_stamp(RUN_TS).alias("xDMrunDt"))
 
@@ -505,5 +538,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         fn_last_first, fn_name_collapse, fn_name_upper, fn_cycle_label,
         case_flag, case_label, case_code_map, case_code_map_null, case_category, case_fallback,
         project_alias, project_deidentified, rename_to_contract, check_unique_key, run_stamp,
+        lookup_collated, distinct_collated, sink_full_refresh, sink_snapshot_history,
     ]
 }

@@ -3,14 +3,13 @@
 M1: one row per study x status record x (regulatory-coordinator team row) x
 (EAV slot fan-out).  Plan shape:
 
-* code lists, sites and users are narrow lookups, broadcast after the size
-  guard; the status side (status x site x site-type x users x study-site) is
-  assembled on the status table before it meets the study;
-* big sides (status records, team rows, EAV slots, disease list, parent and
-  associated study) join on the study key, so Spark keeps one hash
-  partitioning of the study side through the chain;
-* the EAV table is filtered to the slot types and shuffled once for all
-  thirteen slots (``eav_slots``).
+* code lists, sites and users are narrow lookups, which Spark broadcasts while
+  their bytes allow it; the status side (status x site x site-type x users x
+  study-site) is assembled on the status table before it meets the study;
+* status records and team rows join by ``expand_left``, which deals the rows
+  of a hot study over several tasks;
+* the EAV table is scanned once, aggregated once per study and exploded slot by
+  slot (``eav_slots``).
 """
 
 from __future__ import annotations
@@ -19,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trialmart import functions as fn
-from trialmart.operators import eav_slots, exclude_active, lookup, string_list
+from trialmart.operators import eav_slots, exclude_active, expand_left, lookup, string_list
 from trialmart.sources import SourceSet
 
 # Fixed code values of the source system (type ids of study identifiers and
@@ -54,8 +53,7 @@ def _user_cols(prefix: str) -> dict[str, str]:
 def disease_site_names(src: SourceSet) -> DataFrame:
     """Distinct disease-site names per study joined by `` | `` (AGG-01 side input)."""
     named = lookup(src["er_studydiseasesite"], src["er_codelst"],
-                   ("study_disease_site", "pk_codelst"), {"codelst_desc": "__disease"},
-                   broadcast=src.small("er_codelst"))
+                   ("study_disease_site", "pk_codelst"), {"codelst_desc": "__disease"})
     return (string_list(named, "fk_study", "__disease", out="diseaseSiteNames_st_lu")
             .withColumnRenamed("fk_study", "__dn_study"))
 
@@ -63,20 +61,19 @@ def disease_site_names(src: SourceSet) -> DataFrame:
 def _status_side(src: SourceSet) -> DataFrame:
     """Study status records with their site, codes, users and study-site row."""
     codes, users, sites = src["er_codelst"], src["er_user"], src["er_site"]
-    bc_c, bc_u, bc_s = src.small("er_codelst"), src.small("er_user"), src.small("er_site")
     stst = src["er_studystat"]
-    stst = lookup(stst, codes, ("fk_codelst_studystat", "pk_codelst"), {"codelst_desc": "__stat_desc"}, bc_c)
-    stst = lookup(stst, codes, ("outcome", "pk_codelst"), {"codelst_desc": "__out_desc"}, bc_c)
+    stst = lookup(stst, codes, ("fk_codelst_studystat", "pk_codelst"), {"codelst_desc": "__stat_desc"})
+    stst = lookup(stst, codes, ("outcome", "pk_codelst"), {"codelst_desc": "__out_desc"})
     stst = lookup(stst, sites, ("fk_site", "pk_site"),
-                  {"pk_site": "__s_pk", "site_name": "__s_name", "fk_codelst_type": "__s_type"}, bc_s)
-    stst = lookup(stst, codes, ("__s_type", "pk_codelst"), {"codelst_desc": "__stype_desc"}, bc_c)
+                  {"pk_site": "__s_pk", "site_name": "__s_name", "fk_codelst_type": "__s_type"})
+    stst = lookup(stst, codes, ("__s_type", "pk_codelst"), {"codelst_desc": "__stype_desc"})
     for fk, role in [("fk_user_docby", "__docby"), ("studystat_assignedto", "__assigned"),
                      ("creator", "__ststcreator"), ("last_modified_by", "__ststmodby")]:
-        stst = lookup(stst, users, (fk, "pk_user"), _user_cols(role), bc_u)
-    stst = lookup(stst, codes, ("fk_codelst_revboard", "pk_codelst"), {"codelst_desc": "__revbrd_desc"}, bc_c)
+        stst = lookup(stst, users, (fk, "pk_user"), _user_cols(role))
+    stst = lookup(stst, codes, ("fk_codelst_revboard", "pk_codelst"), {"codelst_desc": "__revbrd_desc"})
     stst = lookup(stst, src["er_studysites"], [("fk_study", "fk_study"), ("__s_pk", "fk_site")],
                   {"pk_studysites": "__stsi_pk", "studysite_lsamplesize": "__stsi_lss",
-                   "studysite_enrcount": "__stsi_enr"}, src.small("er_studysites"))
+                   "studysite_enrcount": "__stsi_enr"})
     return stst.select(
         F.col("fk_study").alias("__stst_study"),
         F.col("__s_pk").alias("pkSite_s"),
@@ -114,8 +111,7 @@ def _team_side(src: SourceSet) -> DataFrame:
     team = src["er_studyteam"].filter(
         (F.col("fk_codelst_tmrole") == REGULATORY_COORDINATOR_ROLE)
         & (F.col("study_team_usr_type") == DEFAULT_TEAM_USER_TYPE))
-    team = lookup(team, src["er_user"], ("fk_user", "pk_user"), _user_cols("__regcoord"),
-                  src.small("er_user"))
+    team = lookup(team, src["er_user"], ("fk_user", "pk_user"), _user_cols("__regcoord"))
     return team.select(F.col("fk_study").alias("__sttm_study"),
                        F.col("pk_studyteam").alias("pkStudyTeam_sttm"),
                        F.col("__regcoord_last").alias("regCoordPrimLast_sttm_lu"),
@@ -129,7 +125,6 @@ def _slot(type_id: int, out: str) -> dict:
 def build_study(src: SourceSet, run_ts=None) -> DataFrame:
     """M1 ``dm_study`` (91 columns)."""
     codes, users = src["er_codelst"], src["er_user"]
-    bc_c, bc_u = src.small("er_codelst"), src.small("er_user")
     st = src["er_study"]
 
     for fk, out in [("fk_codelst_sponsor", "__sponsor"), ("fk_codelst_phase", "__phase"),
@@ -137,18 +132,17 @@ def build_study(src: SourceSet, run_ts=None) -> DataFrame:
                     ("fk_codelst_type", "__type"), ("fk_codelst_purpose", "__purpose"),
                     ("fk_codelst_tarea", "__tarea"), ("study_division", "__division"),
                     ("fk_codelst_blind", "__blind")]:
-        st = lookup(st, codes, (fk, "pk_codelst"), {"codelst_desc": out}, bc_c)
+        st = lookup(st, codes, (fk, "pk_codelst"), {"codelst_desc": out})
     for fk, role in [("fk_author", "__author"), ("study_coordinator", "__coord"),
                      ("study_prinv", "__pi"), ("creator", "__creator"),
                      ("last_modified_by", "__modby")]:
-        st = lookup(st, users, (fk, "pk_user"), _user_cols(role), bc_u)
+        st = lookup(st, users, (fk, "pk_user"), _user_cols(role))
 
     # parent study and associated study (text key read the lenient way)
     numbers = src["er_study"].select("pk_study", "study_number")
-    bc_st = src.small("er_study")
-    st = lookup(st, numbers, ("study_parentid", "pk_study"), {"study_number": "__parent_number"}, bc_st)
+    st = lookup(st, numbers, ("study_parentid", "pk_study"), {"study_number": "__parent_number"})
     st = st.withColumn("__assoc_key", fn.to_unsigned("study_assoc"))
-    st = lookup(st, numbers, ("__assoc_key", "pk_study"), {"study_number": "__assoc_number"}, bc_st)
+    st = lookup(st, numbers, ("__assoc_key", "pk_study"), {"study_number": "__assoc_number"})
 
     st = st.join(disease_site_names(src), F.col("pk_study") == F.col("__dn_study"), "left")
 
@@ -157,21 +151,15 @@ def build_study(src: SourceSet, run_ts=None) -> DataFrame:
                                   "columns": {"fk_codelst_idtype": "__clreas_type"}}
     st = eav_slots(st, src["er_studyid"], "pk_study", slots)
     st = lookup(st, src["ref_clinical_working_group"], ("__stid_clinical_working_group", "value"),
-                {"description": "__rcwg_desc", "report_sort": "__rcwg_sort"},
-                src.small("ref_clinical_working_group"))
+                {"description": "__rcwg_desc", "report_sort": "__rcwg_sort"})
 
-    # fan-out joins last: status records, then regulatory coordinators
-    st = st.join(_status_side(src), F.col("pk_study") == F.col("__stst_study"), "left")
-    st = st.join(_team_side(src), F.col("pk_study") == F.col("__sttm_study"), "left")
+    # fan-out joins last; one study may hold a large share of either side
+    st = expand_left(st, _team_side(src), "pk_study", "__sttm_study", "pkStudyTeam_sttm")
+    st = expand_left(st, _status_side(src), "pk_study", "__stst_study", "pkStudyStat_stst")
 
     clreas = F.col("__clreas_type")
     study_type = F.col("__type")
-    cpdm = (F.when(clreas.isin(INTERVENTIONAL_TYPES) & (study_type == TREATMENT_STUDY_TYPE),
-                   F.lit("Interventional Treatment"))
-            .when(clreas.isin(INTERVENTIONAL_TYPES) & (study_type != TREATMENT_STUDY_TYPE),
-                  F.lit("Interventional Non-Treatment"))
-            .when(~clreas.isin(INTERVENTIONAL_TYPES), F.lit("Non-Interventional"))
-            .when(clreas.isNull(), F.lit("")))
+    cpdm = fn.study_category(clreas, study_type, INTERVENTIONAL_TYPES, TREATMENT_STUDY_TYPE)
 
     return st.select(
         F.col("pk_study").alias("pkStudy_st"),
@@ -265,7 +253,7 @@ def build_study_current(study: DataFrame, src: SourceSet, run_ts=None) -> DataFr
             ("ref_treatment_line", "treatmentLine_stid", "__rtl")]
     for table, fk, p in refs:
         dms = lookup(dms, src[table], (fk, "value"),
-                     {"description": f"{p}_desc", "report_sort": f"{p}_sort"}, src.small(table))
+                     {"description": f"{p}_desc", "report_sort": f"{p}_sort"})
     out = dms.select(
         "pkStudy_st", "pkSite_s", "pkStudyStat_stst", "studyNumber_st",
         fn.last_first("piLast_st_lu", "piFirst_st_lu").alias("studyPI_st"),

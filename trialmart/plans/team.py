@@ -35,7 +35,6 @@ def primary_role_counts(team: DataFrame) -> DataFrame:
 def build_study_team(src: SourceSet, run_ts=None) -> DataFrame:
     """M5 ``dm_study_team`` (41 columns)."""
     users, sites, codes = src["er_user"], src["er_site"], src["er_codelst"]
-    bc_u, bc_s, bc_c = src.small("er_user"), src.small("er_site"), src.small("er_codelst")
     team = src["er_studyteam"]
 
     df = exclude_active(team, src["ref_study_exclusions"], "fk_study")
@@ -43,36 +42,35 @@ def build_study_team(src: SourceSet, run_ts=None) -> DataFrame:
     df = lookup(df, src["er_study"], ("fk_study", "pk_study"),
                 {"pk_study": "__st_pk", "study_number": "__st_number",
                  "study_otherprinv": "__st_otherpi", "study_title": "__st_title",
-                 "study_coordinator": "__st_coord", "study_prinv": "__st_pi"},
-                src.small("er_study"))
+                 "study_coordinator": "__st_coord", "study_prinv": "__st_pi"})
     df = lookup(df, users, ("__st_coord", "pk_user"),
-                {"usr_firstname": "__coord_first", "usr_lastname": "__coord_last"}, bc_u)
+                {"usr_firstname": "__coord_first", "usr_lastname": "__coord_last"})
     df = lookup(df, users, ("__st_pi", "pk_user"),
-                {"usr_firstname": "__pi_first", "usr_lastname": "__pi_last"}, bc_u)
+                {"usr_firstname": "__pi_first", "usr_lastname": "__pi_last"})
     df = lookup(df, users, ("fk_user", "pk_user"),
                 {"pk_user": "__u_pk", "fk_siteid": "__u_site", "usr_firstname": "__u_first",
                  "usr_lastname": "__u_last", "usr_stat": "__u_stat", "usr_type": "__u_type",
-                 "created_on": "__u_created", "creator": "__u_creator"}, bc_u)
+                 "created_on": "__u_created", "creator": "__u_creator"})
     df = lookup(df, users, ("__u_creator", "pk_user"),
-                {"usr_firstname": "__uc_first", "usr_lastname": "__uc_last"}, bc_u)
+                {"usr_firstname": "__uc_first", "usr_lastname": "__uc_last"})
     df = lookup(df, sites, ("__u_site", "pk_site"),
                 {"pk_site": "__s_pk", "site_parent": "__s_parent", "site_name": "__s_name",
-                 "fk_codelst_type": "__s_type"}, bc_s)
+                 "fk_codelst_type": "__s_type"})
     df = lookup(df, src["er_studysites"], [("fk_study", "fk_study"), ("__s_pk", "fk_site")],
                 {"studysite_lsamplesize": "__stsi_lss", "created_on": "__stsi_created",
                  "creator": "__stsi_creator", "last_modified_by": "__stsi_modby",
-                 "last_modified_on": "__stsi_modified"}, src.small("er_studysites"))
+                 "last_modified_on": "__stsi_modified"})
     df = lookup(df, users, ("__stsi_creator", "pk_user"),
-                {"usr_firstname": "__stsic_first", "usr_lastname": "__stsic_last"}, bc_u)
+                {"usr_firstname": "__stsic_first", "usr_lastname": "__stsic_last"})
     df = lookup(df, users, ("__stsi_modby", "pk_user"),
-                {"usr_firstname": "__stsim_first", "usr_lastname": "__stsim_last"}, bc_u)
-    df = lookup(df, codes, ("__s_type", "pk_codelst"), {"codelst_desc": "__stype"}, bc_c)
-    df = lookup(df, sites, ("__s_parent", "pk_site"), {"site_name": "__sparent_name"}, bc_s)
-    df = lookup(df, codes, ("fk_codelst_tmrole", "pk_codelst"), {"codelst_desc": "__role"}, bc_c)
+                {"usr_firstname": "__stsim_first", "usr_lastname": "__stsim_last"})
+    df = lookup(df, codes, ("__s_type", "pk_codelst"), {"codelst_desc": "__stype"})
+    df = lookup(df, sites, ("__s_parent", "pk_site"), {"site_name": "__sparent_name"})
+    df = lookup(df, codes, ("fk_codelst_tmrole", "pk_codelst"), {"codelst_desc": "__role"})
     df = lookup(df, users, ("creator", "pk_user"),
-                {"usr_firstname": "__tc_first", "usr_lastname": "__tc_last"}, bc_u)
+                {"usr_firstname": "__tc_first", "usr_lastname": "__tc_last"})
     df = lookup(df, users, ("last_modified_by", "pk_user"),
-                {"usr_firstname": "__tm_first", "usr_lastname": "__tm_last"}, bc_u)
+                {"usr_firstname": "__tm_first", "usr_lastname": "__tm_last"})
 
     return df.select(
         F.col("pk_studyteam").alias("pkStudyTeam_sttm"),

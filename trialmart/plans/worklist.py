@@ -30,20 +30,17 @@ WORKLIST_MQ = ["PatientName_mq", "MRN_mq", "ApptDate_mq", "Activity_mq", "Provid
                "CycleInfo_mq", "Source_mq"]
 
 
-def new_lab_codes(extract: DataFrame, ref: DataFrame, run_ts=None, mode: str = "faithful",
-                  ref_is_small: bool = True) -> DataFrame:
+def new_lab_codes(extract: DataFrame, ref: DataFrame, run_ts=None, mode: str = "faithful") -> DataFrame:
     """Rows M10 appends to ``ref_labs_cpts`` (with keys continuing ``max(lc_idx)``)."""
     labs = extract.select("lab_name", "lab_code")
     if mode == "faithful":
         matched = lookup(labs, ref, ("lab_name", "labdesc"),
-                         {"cpt": "__cpt", "map_status": "__status"}, ref_is_small)
+                         {"cpt": "__cpt", "map_status": "__status"})
         fresh = (matched.filter(F.col("__status").isNull())
                  .select(F.col("lab_name").alias("labdesc"), F.col("lab_code").alias("labname_mq"),
                          F.col("__cpt").alias("cpt")).distinct())
     elif mode == "anti":
         names = ref.select(F.col("labdesc").alias("__known"))
-        if ref_is_small:
-            names = F.broadcast(names)
         fresh = (labs.filter(F.col("lab_name").isNotNull())
                  .join(names, F.col("lab_name") == F.col("__known"), "left_anti")
                  .select(F.col("lab_name").alias("labdesc"), F.col("lab_code").alias("labname_mq"),
@@ -60,10 +57,10 @@ def new_lab_codes(extract: DataFrame, ref: DataFrame, run_ts=None, mode: str = "
 
 
 def register_new_codes(extract: DataFrame, ref: DataFrame, run_ts=None,
-                       mode: str = "faithful", ref_is_small: bool = True) -> DataFrame:
+                       mode: str = "faithful") -> DataFrame:
     """M10: the reference table after the append (existing rows + new rows)."""
     base = ref.select(*[F.col(c).alias(c) for c in REF_COLUMNS])
-    return base.unionByName(new_lab_codes(extract, base, run_ts, mode, ref_is_small))
+    return base.unionByName(new_lab_codes(extract, base, run_ts, mode))
 
 
 def industrial_patients(study_current: DataFrame, patient: DataFrame) -> DataFrame:
@@ -86,8 +83,17 @@ def current_calendar_names(calendar: DataFrame) -> DataFrame:
             .select(F.col("personCode_p").alias("__cal_mrn"), "scheduleName_ea").distinct())
 
 
-def emr_activity(appointments: DataFrame, chemos: DataFrame, labs: DataFrame) -> DataFrame:
-    """Three extracts as one tagged, positional UNION (DISTINCT)."""
+def emr_activity(appointments: DataFrame, chemos: DataFrame, labs: DataFrame,
+                 patients: DataFrame | None = None) -> DataFrame:
+    """Three extracts as one tagged, positional UNION (DISTINCT).
+
+    With ``patients`` every branch is restricted to their MRNs first, so only
+    their activity reaches the shuffle of the DISTINCT.
+    """
+    if patients is not None:
+        mrns = patients.select(F.col("personCode_p").alias("__only")).distinct()
+        appointments, chemos, labs = (
+            x.join(mrns, F.col("mrn") == F.col("__only"), "left_semi") for x in (appointments, chemos, labs))
     blank = F.lit("")
     appt = appointments.select(
         F.col("patient_name").alias("PatientName_mq"), F.col("mrn").alias("MRN_mq"),
@@ -104,20 +110,25 @@ def emr_activity(appointments: DataFrame, chemos: DataFrame, labs: DataFrame) ->
     return union_tagged([appt, chemo, lab], distinct=True)
 
 
+CPT_COLUMNS = ["cpt", "cpt_additional", "labname_tricore", "map_status"]
+
+
 def build_worklist(activity: DataFrame, patients: DataFrame, ref: DataFrame,
-                   calendar_names: DataFrame, run_ts=None, ref_is_small: bool = True) -> DataFrame:
-    """M9 ``dm_PharmaPats_YDA`` snapshot (22 columns)."""
-    cpts = ref.filter(F.col("labdesc") != "").select(
-        F.col("labdesc").alias("__cpt_name"), "cpt", "cpt_additional", "labname_tricore",
-        "map_status").distinct()
-    if ref_is_small:
-        cpts = F.broadcast(cpts)
+                   calendar_names: DataFrame, run_ts=None) -> DataFrame:
+    """M9 ``dm_PharmaPats_YDA`` snapshot (22 columns).
+
+    Only activity with a lab name can have a CPT mapping, so the rest does not
+    join the reference table.  Every side is distinct and all join keys are in
+    the output, so the result is distinct without another shuffle.
+    """
+    cpts = (ref.filter(F.col("labdesc") != "").select(F.col("labdesc").alias("__cpt_name"), *CPT_COLUMNS).distinct())
     pats = patients.select(F.col("personCode_p").alias("__mrn"), "studyNumber_st",
-                           "studyTitle_st", "patStudyId_pp", "patName_p")
-    df = (activity.join(pats, F.col("MRN_mq") == F.col("__mrn"), "inner")
-          .join(cpts, F.col("__cpt_name") == F.col("LabName_mq"), "left")
+                           "studyTitle_st", "patStudyId_pp", "patName_p").distinct()
+    named = F.coalesce(F.col("LabName_mq") != "", F.lit(False))
+    mapped = activity.filter(named).join(cpts, F.col("__cpt_name") == F.col("LabName_mq"), "left").drop("__cpt_name")
+    bare = activity.filter(~named).select(
+        "*", *[F.lit(None).cast(cpts.schema[c].dataType).alias(c) for c in CPT_COLUMNS])
+    df = (mapped.union(bare).join(pats, F.col("MRN_mq") == F.col("__mrn"), "inner")
           .join(calendar_names, F.col("MRN_mq") == F.col("__cal_mrn"), "left"))
-    out = df.select("studyNumber_st", "studyTitle_st", "patStudyId_pp", "patName_p",
-                    *WORKLIST_MQ, "cpt", "cpt_additional", "labname_tricore", "map_status",
-                    "scheduleName_ea").distinct()
-    return out.withColumn("xDMrunDt", fn.run_stamp(run_ts))
+    return df.select("studyNumber_st", "studyTitle_st", "patStudyId_pp", "patName_p", *WORKLIST_MQ,
+                     *CPT_COLUMNS, "scheduleName_ea", fn.run_stamp(run_ts).alias("xDMrunDt"))

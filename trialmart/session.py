@@ -6,18 +6,13 @@ tests, the bench and local runs.  Settings that matter at scale:
 * AQE on, with partition coalescing and skew-join splitting: the big
   many-to-many joins (study x patient, study x status) are keyed on study and
   a single study may hold a large share of rows.
-* ``spark.sql.autoBroadcastJoinThreshold`` stays at its (size-checked)
-  default; dimensions that are not code lists are only broadcast when Spark's
-  own size estimate or AQE's runtime statistics say they fit.
-* ``spark.checkpoint.dir`` is read from the session; a scratch default is set
-  only when the session has none (tests and local runs).
+* ``spark.sql.autoBroadcastJoinThreshold`` stays at its (byte-checked)
+  default; nothing is hinted.
+* ``spark.checkpoint.dir`` is read from the session and never made up.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -32,6 +27,7 @@ DEFAULT_CONF = {
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "trialmart", extra: dict | None = None) -> SparkSession:
+    """A session with the defaults above; ``extra`` adds settings such as ``spark.checkpoint.dir``."""
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -40,19 +36,18 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
+    """The shared folder that ``spark.checkpoint.dir`` names, registered with the context.
 
-    Only when the session has none (tests, laptop runs) a fresh scratch
-    folder is created and registered.
+    No folder is created in its place: a machine-local one would be invisible
+    to the executors of a cluster.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = tempfile.mkdtemp(prefix="trialmart-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+        raise ValueError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(current)
     return current

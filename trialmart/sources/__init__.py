@@ -1,16 +1,13 @@
-"""Source tables for the marts and the size guard that decides broadcasts.
+"""Source tables for the marts.
 
 A ``SourceSet`` maps table names (case-insensitive) to DataFrames.  On a
 cluster the tables come from the catalog or from Parquet folders
-(``from_catalog`` / ``from_parquet``); in tests and the bench they are
+(``from_catalog`` / ``from_parquet``) and are checked against the declared
+schemas (``trialmart.sources.schema``); in tests and the bench they are
 derived from the generated tables (``from_testdata``).
 
-Broadcast policy: a lookup side is broadcast only after ``small(name)``
-proved its row count is under ``broadcast_row_limit`` (one bounded
-``limit(n+1).count()`` job per table, cached per SourceSet).  Beyond the limit
-the join is left to Spark: a shuffle join, re-planned by AQE from runtime
-statistics.  Code lists and reference tables pass the guard by nature;
-users, studies and persons pass it only while they are small.
+No table is hinted as small: Spark decides on a broadcast from bytes, estimated
+or measured at run time.
 """
 
 from __future__ import annotations
@@ -19,20 +16,17 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trialmart.sources import derived as _derived
-
-DEFAULT_BROADCAST_ROW_LIMIT = 2_000_000
+from trialmart.contracts import conform
+from trialmart.operators import check_unique
+from trialmart.sources.schema import SOURCE_SCHEMAS, UNIQUE_KEYS
 
 #: every source the marts read (FIXTURES.md section 1)
-SOURCE_TABLES = [name for name, _ in _derived.DERIVED]
+SOURCE_TABLES = list(SOURCE_SCHEMAS)
 
 
 class SourceSet:
-    def __init__(self, tables: Mapping[str, DataFrame],
-                 broadcast_row_limit: int = DEFAULT_BROADCAST_ROW_LIMIT):
+    def __init__(self, tables: Mapping[str, DataFrame]):
         self._tables = {k.lower(): v for k, v in tables.items()}
-        self.broadcast_row_limit = broadcast_row_limit
-        self._small: dict[str, bool] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         return self._tables[name.lower()]
@@ -43,41 +37,40 @@ class SourceSet:
     def names(self) -> list[str]:
         return list(self._tables)
 
-    def with_tables(self, **tables: DataFrame) -> "SourceSet":
-        merged = dict(self._tables)
-        merged.update({k.lower(): v for k, v in tables.items()})
-        out = SourceSet(merged, self.broadcast_row_limit)
-        out._small = {k: v for k, v in self._small.items() if k not in tables}
-        return out
+    def check_keys(self) -> None:
+        """Raise if a dimension that the marts take as unique has a repeated key (SNK-06, JOI-20).
 
-    def small(self, name: str) -> bool:
-        """True when the table has at most ``broadcast_row_limit`` rows (checked once)."""
-        key = name.lower()
-        if key not in self._small:
-            n = self[key].limit(self.broadcast_row_limit + 1).count()
-            self._small[key] = n <= self.broadcast_row_limit
-        return self._small[key]
+        One map-side combined aggregate per table.
+        """
+        for name, keys in UNIQUE_KEYS.items():
+            if name in self:
+                check_unique(self[name].dropna(subset=keys), keys, name)
 
 
 def read_parquet_tables(spark: SparkSession, folder: str, names: Iterable[str]) -> dict[str, DataFrame]:
     return {n: spark.read.parquet(f"{folder}/{n}.parquet") for n in names}
 
 
-def from_parquet(spark: SparkSession, folder: str, names: Iterable[str] = SOURCE_TABLES,
-                 **kw) -> SourceSet:
+def _declared(tables: dict[str, DataFrame]) -> SourceSet:
+    return SourceSet({n: conform(df, SOURCE_SCHEMAS[n.lower()], n) if n.lower() in SOURCE_SCHEMAS else df
+                      for n, df in tables.items()})
+
+
+def from_parquet(spark: SparkSession, folder: str, names: Iterable[str] = SOURCE_TABLES) -> SourceSet:
     """Source tables stored as ``<folder>/<name>.parquet``."""
-    return SourceSet(read_parquet_tables(spark, folder, names), **kw)
+    return _declared(read_parquet_tables(spark, folder, names))
 
 
 def from_catalog(spark: SparkSession, names: Iterable[str] = SOURCE_TABLES,
-                 database: str | None = None, **kw) -> SourceSet:
+                 database: str | None = None) -> SourceSet:
     """Source tables registered in the session catalog."""
     prefix = f"{database}." if database else ""
-    return SourceSet({n: spark.table(prefix + n) for n in names}, **kw)
+    return _declared({n: spark.table(prefix + n) for n in names})
 
 
-def from_testdata(spark: SparkSession, sf_dir: str, names: Iterable[str] | None = None,
-                  **kw) -> SourceSet:
+def from_testdata(spark: SparkSession, sf_dir: str, names: Iterable[str] | None = None) -> SourceSet:
     """Trial sources derived from the generated tables at ``sf_dir`` (see ``derived``)."""
-    raw = read_parquet_tables(spark, sf_dir, _derived.RAW_TABLES)
-    return SourceSet(_derived.derive(spark, raw, list(names) if names else None), **kw)
+    from trialmart.sources import derived
+
+    raw = read_parquet_tables(spark, sf_dir, derived.RAW_TABLES)
+    return _declared(derived.derive(spark, raw, list(names) if names else None))

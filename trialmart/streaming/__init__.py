@@ -1,13 +1,13 @@
 """Incremental intake of the nightly medical-record extracts.
 
 The source procedures have no streaming operator (no windows, watermarks or
-state): the worklist is rebuilt once per nightly extract drop.  The Spark
-way to run "once per new drop, exactly once, restartable" is a file stream
-with ``Trigger.AvailableNow`` and ``foreachBatch``: each run picks up only the
+state): the worklist is rebuilt once per nightly extract drop.  The Spark way
+to run "once per new drop, restartable" is a file stream with
+``Trigger.AvailableNow`` and ``foreachBatch``: each run picks up only the
 extract files that arrived since the last run (tracked in the checkpoint,
-under ``spark.checkpoint.dir``), rebuilds the worklist for them with the
-batch marts, publishes the snapshot and archives the previous one.  A failed
-run restarts from the checkpoint without re-reading processed files.
+under ``spark.checkpoint.dir``).  ``foreachBatch`` runs a batch at least once;
+``worklist_batch_handler`` derives the run stamp from the batch id, so a
+retried batch writes the same version and the same history partition again.
 """
 
 from __future__ import annotations
@@ -43,15 +43,19 @@ def process_new_extracts(spark: SparkSession, extract_dir: str, schema: StructTy
     return query
 
 
-def worklist_batch_handler(build: Callable[[DataFrame, _dt.datetime], None]
-                           ) -> Callable[[DataFrame, int], None]:
+def batch_stamp(batch_id: int, origin: _dt.datetime) -> _dt.datetime:
+    """Run stamp of a batch: ``origin`` plus one second per batch, the same on every retry."""
+    return origin + _dt.timedelta(seconds=batch_id)
+
+
+def worklist_batch_handler(build: Callable[[DataFrame, _dt.datetime], None],
+                           origin: _dt.datetime) -> Callable[[DataFrame, int], None]:
     """Adapt a ``build(extract_rows, run_ts)`` job to ``foreachBatch``.
 
-    The run stamp is taken once per batch, so a batch's rows share it; an
-    empty batch does nothing (no snapshot replacement on a day without data).
+    ``origin`` is fixed once per stream.  An empty batch does nothing (no
+    snapshot replacement on a day without data).
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        build(batch, _dt.datetime.now().replace(microsecond=0))
+        if not batch.isEmpty():
+            build(batch, batch_stamp(batch_id, origin))
     return handle
