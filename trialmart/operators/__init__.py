@@ -103,23 +103,28 @@ def distinct_collated(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def expand_left(df: DataFrame, right: DataFrame, key: str, right_key: str, spread_by: str,
-                salts: int = 32) -> DataFrame:
+                keys: DataFrame | None = None, salts: int = 32, clustered: bool = False) -> DataFrame:
     """Left join to a many side whose keys may be hot.
 
     The right rows of a key are dealt over ``salts`` sub-keys by a hash of
     ``spread_by``; a left row is repeated for the sub-keys that its key really
     has (one set of at most ``salts`` numbers per key, combined map-side), so a
     key with a third of all rows is joined in up to ``salts`` tasks.  Left rows
-    without a match are kept once, with NULLs.
+    without a match are kept once, with NULLs.  ``keys`` may give the
+    (``right_key``, ``spread_by``) pairs of ``right`` from a cheaper source, for
+    instance its base table before the lookups.  ``clustered`` asks for a
+    sort-merge join, whose output lies together by key when it is written.
     """
     salt, have, here = _fresh("__salt"), _fresh("__have"), _fresh("__here")
-    right = right.withColumn(salt, F.pmod(F.xxhash64(spread_by), F.lit(salts)))
+    dealt = F.pmod(F.xxhash64(spread_by), F.lit(salts))
     rk = _fresh("__rk")
-    present = right.groupBy(F.col(right_key).alias(rk)).agg(F.collect_set(salt).alias(have))
+    present = ((right if keys is None else keys).groupBy(F.col(right_key).alias(rk))
+               .agg(F.collect_set(dealt).alias(have)))
+    right = right.withColumn(salt, dealt)
     df = (df.join(present, F.col(key) == F.col(rk), "left").drop(rk)
           .withColumn(here, F.explode_outer(have)).drop(have))
     on = (F.col(key) == F.col(right_key)) & (F.col(here) == F.col(salt))
-    return df.join(right, on, "left").drop(here, salt)
+    return df.join(right.hint("merge") if clustered else right, on, "left").drop(here, salt)
 
 
 def string_list(df: DataFrame, key: str, value: str, sep: str = " | ",

@@ -69,7 +69,8 @@ def build_calendar(src: SourceSet, run_ts=None, since: str = CALENDAR_SINCE) ->
     # calendars (one row per status) are the side that is repeated
     calendars = ea.join(sps, F.col("__ea_id") == F.col("__sps_event"), "inner")
     events = se1.join(ses, F.col("__se1_id") == F.col("__ses_event"), "inner")
-    df = expand_left(calendars, events, "__ea_id", "__se1_session", "__se1_id")
+    scheduled = se1.select("__se1_session", "__se1_id")
+    df = expand_left(calendars, events, "__ea_id", "__se1_session", "__se1_id", keys=scheduled)
     df = df.filter(F.col("__se1_session").isNotNull())
 
     for fk, p in [("__sps_stat", "__calstat"), ("__se1_cover", "__cover"), ("__ses_stat", "__estat")]:

@@ -106,12 +106,15 @@ def _status_side(src: SourceSet) -> DataFrame:
     )
 
 
-def _team_side(src: SourceSet) -> DataFrame:
-    """Primary regulatory coordinator rows per study (right-side filter in ON)."""
-    team = src["er_studyteam"].filter(
+def _coordinators(src: SourceSet) -> DataFrame:
+    return src["er_studyteam"].filter(
         (F.col("fk_codelst_tmrole") == REGULATORY_COORDINATOR_ROLE)
         & (F.col("study_team_usr_type") == DEFAULT_TEAM_USER_TYPE))
-    team = lookup(team, src["er_user"], ("fk_user", "pk_user"), _user_cols("__regcoord"))
+
+
+def _team_side(src: SourceSet) -> DataFrame:
+    """Primary regulatory coordinator rows per study (right-side filter in ON)."""
+    team = lookup(_coordinators(src), src["er_user"], ("fk_user", "pk_user"), _user_cols("__regcoord"))
     return team.select(F.col("fk_study").alias("__sttm_study"),
                        F.col("pk_studyteam").alias("pkStudyTeam_sttm"),
                        F.col("__regcoord_last").alias("regCoordPrimLast_sttm_lu"),
@@ -154,8 +157,13 @@ def build_study(src: SourceSet, run_ts=None) -> DataFrame:
                 {"description": "__rcwg_desc", "report_sort": "__rcwg_sort"})
 
     # fan-out joins last; one study may hold a large share of either side
-    st = expand_left(st, _team_side(src), "pk_study", "__sttm_study", "pkStudyTeam_sttm")
-    st = expand_left(st, _status_side(src), "pk_study", "__stst_study", "pkStudyStat_stst")
+    coordinators = _coordinators(src).select(F.col("fk_study").alias("__sttm_study"),
+                                             F.col("pk_studyteam").alias("pkStudyTeam_sttm"))
+    st = expand_left(st, _team_side(src), "pk_study", "__sttm_study", "pkStudyTeam_sttm", keys=coordinators)
+    records = src["er_studystat"].select(F.col("fk_study").alias("__stst_study"),
+                                         F.col("pk_studystat").alias("pkStudyStat_stst"))
+    st = expand_left(st, _status_side(src), "pk_study", "__stst_study", "pkStudyStat_stst", keys=records,
+                     clustered=True)
 
     clreas = F.col("__clreas_type")
     study_type = F.col("__type")
