@@ -79,6 +79,28 @@ def test_toxicity(spark, hard_docs, hard_rows, no_docs):
         assert {r.predicted for r in score_toxicity(hard_docs, fit_toxicity(docs, odd), ["doc_id"]).collect()} == {want}
 
 
+def test_toxicity_rare_markers_and_small_samples(spark, hard_docs):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("aeioubcdfglmnprst") for _ in range(9))
+    plain, insults = [word() for _ in range(300)], [word() for _ in range(150)]
+    rows = []
+    for i in range(900):
+        text = [rng.choice(plain) for _ in range(60)]
+        if i % 3 == 0:  # an insult is in about 2% of the toxic texts
+            text[10:13] = rng.sample(insults, 3)
+        rows.append((i, " ".join(text), int(i % 3 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = fit_toxicity(docs, docs.select("doc_id", "toxic"), train="doc_id < 720")
+    got = score_toxicity(docs.where("doc_id >= 720"), model, ["toxic"]).collect()
+    caught = [r.predicted for r in got if r.toxic]
+    assert np.mean(caught) >= 0.9 and np.mean([r.predicted for r in got if not r.toxic]) <= 0.05
+    small = queries.op3_toxicity(spark, SF).join(table(spark, "labels"), "doc_id").collect()  # 6 toxic training rows
+    assert len(small) and all(r.severity >= 0 for r in small)
+    assert np.mean([r.predicted == r.toxic for r in small if r.toxic is not None]) >= 0.9
+    blank = docs.withColumn("text", F.lit("12 34"))
+    assert {r.predicted for r in score_toxicity(hard_docs, fit_toxicity(blank, docs.select("doc_id", "toxic")), ["doc_id"]).collect()} == {0}
+
+
 # -- tokens ---------------------------------------------------------------
 @pytest.fixture(scope="module")
 def pieces():

@@ -2,12 +2,19 @@
 
 Sparse features of the whole text are its lower-cased words and their first
 four and five bytes (so inflected forms share evidence), each with
-``log2(1 + count)``.  Grades run from 0 to 3: label 0 is grade 0, and toxic
-training documents are graded by how much of their text is marker vocabulary
-(features whose log odds lean to the toxic class by ``lean`` or more, firmly by
-a chi-square test that allows for the many candidates, and which a share
-``support`` of the toxic documents has, so that a few copies of one document
-make no vocabulary), cut at the terciles.  One weight
+``log2(1 + count)`` over a power of the norm of those the sample has (one half
+or 1; in units of the training texts' median norm), so that many weak features
+of a long text need not add up to a strong one.  Every feature of the training
+sample has a weight, however rare it is; a quadratic penalty holds
+the weights small, the less the more the classes differ in the feature: its
+scale is its smoothed log odds, shrunk (never to nothing) where chance alone
+reaches its chi-square among so many features.  The power of the norm is
+chosen by the log likelihood of training rows left out in turn.  Grades run
+from 0 to 3: label 0 is grade 0, and toxic training documents are graded by their margin in
+the two-class model that has not seen them, cut at the terciles.  The weights
+are fitted on all rows, both classes alike; their common slope and the
+thresholds on the margins of rows left out, so that ``p_toxic`` holds at the
+class shares of the sample.  One weight
 vector is shared by the three ordered thresholds,
 
     P(grade > k) = sigmoid(w.x - theta_k),   theta_0 < theta_1 < theta_2,
@@ -17,7 +24,9 @@ and the severity is the expected grade, the sum of these probabilities.
 Defined cases: null and empty texts have no features and get the grade
 probabilities at w.x = 0; null labels are ignored and conflicting ones
 averaged (one half or more is toxic); without labelled rows of both classes
-every document gets the grade of the class there is (0 if none).
+every document gets the grade of the class there is (0 if none); if the sample
+has no feature at all, nothing tells the classes apart and every document gets
+grade 0.
 """
 
 from __future__ import annotations
@@ -58,11 +67,17 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * z))
 
 
+def _norm(row: np.ndarray, value: np.ndarray, n: int) -> np.ndarray:
+    return np.sqrt(np.maximum(np.bincount(row, value * value, n), 1))
+
+
 @dataclass
 class ToxicityModel:
     keys: np.ndarray                      # sorted feature hashes
     weights: np.ndarray
     thresholds: np.ndarray                # theta_0 .. theta_{GRADES-2}, increasing
+    power: float = 0.0                    # of the norm that divides the features of a text,
+    usual: float = 1.0                    # taken as a multiple of the median norm of the training texts
     hint: np.ndarray = field(init=False)  # low bits that any key has: most words stop here
 
     def __post_init__(self) -> None:
@@ -79,41 +94,119 @@ class ToxicityModel:
         at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
         hit = self.keys[at] == h
         pair, tf = np.unique(rows[hit] * len(self.keys) + at[hit], return_counts=True)
-        return np.bincount(pair // len(self.keys), np.log2(1 + tf) * self.weights[pair % len(self.keys)], n)
+        row, value = pair // len(self.keys), np.log2(1 + tf)
+        return np.bincount(row, value * self.weights[pair % len(self.keys)], n) / (_norm(row, value, n) / self.usual) ** self.power
 
     def exceed(self, column: pa.Array) -> np.ndarray:
         """P(grade > k) for every row, (rows, GRADES - 1)."""
         return _sigmoid(self.margins(column)[:, None] - self.thresholds[None, :])
 
 
-def fit_ordinal(x: np.ndarray, y: np.ndarray, weight: np.ndarray, *, l2: float = 1e-5, rounds: int = 800,
-                rate: float = 0.05) -> tuple[np.ndarray, np.ndarray]:
-    """(weights, thresholds) of the proportional-odds model by Adam on the penalised likelihood."""
-    n, m = x.shape
-    k = GRADES - 1
-    theta = np.concatenate([np.zeros(m), [1.0], np.zeros(k - 1)])  # weights, first threshold, log gaps
-    first, second = np.zeros_like(theta), np.zeros_like(theta)
+@dataclass
+class Sample:
+    """Feature counts of the training rows as (row, column, value) triples."""
+
+    row: np.ndarray
+    col: np.ndarray
+    value: np.ndarray
+    shape: tuple[int, int]
+
+    def dot(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, self.value * w[self.col], self.shape[0])
+
+    def back(self, r: np.ndarray) -> np.ndarray:
+        return np.bincount(self.col, self.value * r[self.row], self.shape[1])
+
+    def scale(self, y: np.ndarray, used: np.ndarray) -> np.ndarray:
+        """Smoothed log odds of every feature among the ``used`` rows, shrunk where its chi-square is small."""
+        n1, n0 = (used & (y == 1)).sum(), (used & (y == 0)).sum()
+        d1, d0 = (np.bincount(self.col[(used & (y == k))[self.row]], minlength=self.shape[1]) for k in (1, 0))
+        both = (d1 + d0) / (n1 + n0)
+        odds = np.log((d1 + n1 / (n1 + n0)) / (n1 + 1)) - np.log((d0 + n0 / (n1 + n0)) / (n0 + 1))
+        firm = (d1 / n1 - d0 / n0) ** 2 / np.maximum(both * (1 - both) * (1 / n1 + 1 / n0), 1e-12)
+        chance = 2 * np.log(max(self.shape[1], 2))  # about what the best of so many chance features reaches
+        return 3 * odds * firm / (firm + chance)
+
+
+def _minimise(f, at: np.ndarray, *, rounds: int, memory: int = 8) -> np.ndarray:
+    """L-BFGS with backtracking; ``f`` gives (value, gradient)."""
+    value, grad = f(at)
+    pairs: list[tuple[np.ndarray, np.ndarray, float]] = []
+    for _ in range(rounds):
+        step, kept = -grad, []
+        for s, d, rho in reversed(pairs):
+            kept.append(rho * (s @ step))
+            step = step - kept[-1] * d
+        if pairs:
+            s, d, rho = pairs[-1]
+            step = step / (rho * (d @ d))
+        for (s, d, rho), a in zip(pairs, reversed(kept)):
+            step = step + (a - rho * (d @ step)) * s
+        slope, size = grad @ step, 1.0 if pairs else min(1.0, 1 / max(np.linalg.norm(grad), 1e-12))
+        while True:
+            new, new_grad = f(at + size * step)
+            if new <= value + 1e-4 * size * slope or size < 1e-8:
+                break
+            size /= 2
+        if new > value or value - new <= 1e-4 * abs(value):
+            return at + size * step if new < value else at
+        s, d = size * step, new_grad - grad
+        if s @ d > 1e-12:
+            pairs = [*pairs[-memory + 1:], (s, d, 1 / (s @ d))]
+        at, value, grad = at + s, new, new_grad
+    return at
+
+
+def fit_ordinal(x: Sample, scale: np.ndarray, y: np.ndarray, weight: np.ndarray, *, grades: int = GRADES,
+                l2: float = 0.001, rounds: int = 30) -> tuple[np.ndarray, np.ndarray]:
+    """(weights, thresholds) of the proportional-odds model on the scaled features, by the penalised likelihood."""
+    m, k = x.shape[1], grades - 1
     weight = weight / weight.sum()
-    for step in range(1, rounds + 1):
+
+    def loss(theta: np.ndarray) -> tuple[float, np.ndarray]:  # weights, first threshold, log gaps
         w, gaps = theta[:m], np.exp(theta[m + 1:])
         cuts = np.concatenate([[-np.inf], theta[m] + np.concatenate([[0.0], np.cumsum(gaps)]), [np.inf]])
-        eta = (x @ w.astype(np.float32)).astype(np.float64)
+        eta = x.dot(w * scale)
         upper, lower = _sigmoid(cuts[y + 1] - eta), _sigmoid(cuts[y] - eta)
         p = np.maximum(upper - lower, 1e-12)
         du, dl = upper * (1 - upper) / p * weight, lower * (1 - lower) / p * weight
-        grad_cut = np.bincount(y, du, GRADES)[:k] - np.bincount(y, dl, GRADES)[1:]
+        grad_cut = np.bincount(y, du, grades)[:k] - np.bincount(y, dl, grades)[1:]
         tail = np.cumsum(grad_cut[::-1])[::-1]
-        grad = np.concatenate([((du - dl).astype(np.float32) @ x) - 0.0, [-tail[0]], -(tail[1:] * gaps)])
-        grad[:m] += l2 * w
-        first = 0.9 * first + 0.1 * grad
-        second = 0.999 * second + 0.001 * grad * grad
-        theta = theta - rate * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.999 ** step)) + 1e-8)
-    gaps = np.exp(theta[m + 1:])
-    return theta[:m], theta[m] + np.concatenate([[0.0], np.cumsum(gaps)])
+        grad = np.concatenate([x.back(du - dl) * scale + l2 * w, [-tail[0]], -(tail[1:] * gaps)])
+        return 0.5 * l2 * (w @ w) - weight @ np.log(p), grad
+
+    theta = _minimise(loss, np.concatenate([np.zeros(m), [1.0], np.zeros(k - 1)]), rounds=rounds)
+    return theta[:m] * scale, theta[m] + np.concatenate([[0.0], np.cumsum(np.exp(theta[m + 1:]))])
+
+
+def _class_weight(y: np.ndarray, used: np.ndarray) -> np.ndarray:
+    return np.where(used, np.where(y == 1, 0.5 / max((used & (y == 1)).sum(), 1), 0.5 / max((used & (y == 0)).sum(), 1)), 0.0)
+
+
+def _left_out(x: Sample, y: np.ndarray, grade: np.ndarray, folds: int) -> np.ndarray:
+    """Margins of every row by the model that has not seen it; ``folds`` of 1 leaves none out."""
+    part = np.zeros(len(y), np.int64)
+    for label in (0, 1):
+        part[y == label] = np.arange((y == label).sum()) % folds
+    margin = np.zeros(len(y))
+    for fold in range(folds):
+        used = (part != fold) | (folds == 1)
+        w, _ = fit_ordinal(x, x.scale(y, used), grade, _class_weight(y, used), grades=int(grade.max()) + 1)
+        margin[part == fold] = x.dot(w)[part == fold]
+    return margin
+
+
+def _on_margins(margin: np.ndarray, grade: np.ndarray, weight: np.ndarray) -> tuple[float, np.ndarray, float]:
+    """(slope, thresholds, mean loss of the toxic threshold) of the ordinal model whose one feature is the margin."""
+    unit = max(float(margin.std()), 1e-12)
+    one = Sample(np.arange(len(margin)), np.zeros(len(margin), np.int64), margin / unit, (len(margin), 1))
+    w, cuts = fit_ordinal(one, np.ones(1), grade, weight, grades=int(grade.max()) + 1, l2=1e-4, rounds=200)
+    z = margin / unit * w[0] - cuts[0]
+    return float(w[0] / unit), cuts, float(weight @ np.logaddexp(0, np.where(grade > 0, -z, z)))
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, *, per_class: int = 1500, terms: int = 2048, min_docs: int = 4,
-                 lean: float = 2.0, support: float = 0.03,
+def fit_toxicity(docs: DataFrame, labels: DataFrame, *, per_class: int = 1500,
+                 powers: tuple[float, ...] = (0.5, 1.0), folds: int = 5,
                  train: str = "crc32(cast(doc_id as string)) % 3 <> 1") -> ToxicityModel:
     """Fit on at most ``per_class`` labelled documents of each class, the first by a hash of their id."""
     known = (labels.where("doc_id is not null and toxic is not null").where(train)
@@ -141,30 +234,32 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, per_class: int = 1500, t
         return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), high)
     keys = [np.frombuffer(r["key"], np.uint64) for r in rows]
     tfs = [np.frombuffer(r["tf"], np.uint16) for r in rows]
-    vocabulary, seen = np.unique(np.concatenate(keys), return_counts=True)
-    vocabulary = vocabulary[seen >= min_docs]
-    n1 = int(y.sum())
-    n0 = len(y) - n1
-    df = np.zeros((2, len(vocabulary)))
-    for label, key in zip(y, keys):
-        df[label, np.searchsorted(vocabulary, key[np.isin(key, vocabulary, assume_unique=True)])] += 1
-    odds = np.log((df[1] + 0.5) / (n1 - df[1] + 0.5)) - np.log((df[0] + 0.5) / (n0 - df[0] + 0.5))
-    both = df.sum(0) / len(y)
-    gain = (df[1] / n1 - df[0] / n0) ** 2 / np.maximum(both * (1 - both) * (1 / n1 + 1 / n0), 1e-12)
-    firm = 2 * np.log(max(len(vocabulary), 2))  # about one chance feature among all that are tried
-    leaning = np.flatnonzero((odds >= lean) & (gain >= firm) & (df[1] >= support * n1))
-    top = np.sort(leaning[np.lexsort((vocabulary[leaning], -gain[leaning]))[:terms]])
-    chosen, odds = vocabulary[top], odds[top]
-    x = np.zeros((len(y), len(chosen)), np.float32)
-    for i, (key, tf) in enumerate(zip(keys, tfs)):
-        at = np.minimum(np.searchsorted(chosen, key), len(chosen) - 1)
-        hit = chosen[at] == key
-        x[i, at[hit]] = np.log2(1 + tf[hit].astype(np.float32))
-    share = x.sum(1) / np.log2(2 + np.array([t.sum() for t in tfs], np.float64))
-    grade = y * (1 + np.searchsorted(np.quantile(share[y == 1], [1 / 3, 2 / 3]), share))
-    weight = np.where(y == 1, 0.5 / n1, 0.5 / n0)
-    w, thresholds = fit_ordinal(x, grade, weight)
-    return ToxicityModel(chosen, w, thresholds)
+    vocabulary = np.unique(np.concatenate(keys))
+    if not len(vocabulary):
+        return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), np.full(GRADES - 1, 30.0))
+    row = np.repeat(np.arange(len(y)), [len(k) for k in keys])
+    value = np.log2(1 + np.concatenate(tfs).astype(np.float64))
+    norms = _norm(row, value, len(y))
+    usual = float(np.median(norms))
+    norm = (norms / usual)[row]
+    col = np.concatenate([np.searchsorted(vocabulary, k) for k in keys])
+    every = np.ones(len(y), bool)
+    weight = _class_weight(y, every)
+    folds = max(1, min(folds, int(y.sum()), int(len(y) - y.sum())))  # a single row of a class cannot be left out
+    tried = []
+    for power in powers[:1] if folds == 1 else powers:
+        x = Sample(row, col, value / norm ** power, (len(y), len(vocabulary)))
+        margin = _left_out(x, y, y, folds)
+        tried.append((_on_margins(margin, y, weight)[2], power, margin))
+    _, power, margin = min(tried, key=lambda t: t[:2])
+    x = Sample(row, col, value / norm ** power, (len(y), len(vocabulary)))
+    grade = y * (1 + np.searchsorted(np.quantile(margin[y == 1], [1 / 3, 2 / 3]), margin))
+    w, thresholds = fit_ordinal(x, x.scale(y, every), grade, weight)
+    if folds > 1 and grade.max() == GRADES - 1:
+        slope, cut, _ = _on_margins(_left_out(x, y, grade, folds), y, np.ones(len(y)) / len(y))
+        if slope > 0:  # otherwise the left-out margins say nothing and the fit's own thresholds stay
+            w, thresholds = w * slope, cut[0] + slope * (thresholds - thresholds[0])
+    return ToxicityModel(vocabulary, w, thresholds, power, usual)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, keep: list[str], text_col: str = "text") -> DataFrame:
