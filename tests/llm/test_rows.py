@@ -217,6 +217,21 @@ def test_html_generated(spark):
         assert got[r.page_id] == "\n\n".join(b for b in blocks if b)
 
 
+def test_html_marks_on_wrappers():
+    def text(source):
+        page = Page(source)
+        best = best_path(page.scores())
+        return "" if best is None else page.text(best)
+
+    body, aside = "Body " * 100, "<div class='sidebar-left'><p>Beside the article.</p></div>"
+    for name in ("has-sidebar", "elementor-widget-container", "content-with-comments", "ad-free", "widget", "overlay page"):
+        assert text(f"<body><div class='{name}'><div class=x><p>{body}</p></div>{aside}</div></body>") == body.strip(), name
+    assert text(f"<body><form id=all><div><p>{body}</p></div>{aside}</form></body>") == body.strip()
+    assert text(f"<body><div class=social><article><p>{body}</p></article><p>Share</p></div><p>{body}</p></body>").count("Body") == 200
+    assert text(f"<body><div><p>{body}</p></div><div class=comments><p>{body * 3}</p></div></body>") == body.strip()
+    assert text(f"<body><div hidden><article><p>{body}</p></article></div></body>") == ""
+
+
 def test_html_long_unclosed():
     page = Page("<div class=x>" * 2000 + "<a href='" * 500 + "deep text " * 1000)
     assert best_path(page.scores()) is not None or page.scores() is not None

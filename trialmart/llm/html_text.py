@@ -3,8 +3,10 @@
 A page is parsed into blocks of text and the containers that hold them.  Every
 container is known by its generalised path: tags with their class and id words,
 digits replaced, positions dropped.  A block is worth its length, less where it
-is link text, and boilerplate (by element, role or class words) counts against
-the containers around it; a container's score is the sum over its blocks.  The
+is link text; boilerplate (by element, role or the first word of a class) is
+dropped and counts against the containers around it, unless its mark is on a wrapper of nearly all the
+page's text, or above a main or the longest article, which stay; hidden text
+always goes.  A container's score is the sum over its blocks.  The
 scores are votes: Spark sums them per host and path, and the best path of a
 host, the deeper one on ties, wins.  Every page is then extracted again from
 all its elements on the winning path; a page where that path holds less than
@@ -67,11 +69,15 @@ class Page:
         self._stack: list[tuple[str, int]] = []  # open containers and the block elements p, h1..., pre
         self._text: list[str] = []
         self._linked = 0
+        self._soft: set[int] = set()  # marked by a class or as a form, which may wrap a whole page
+        self._found: list[tuple[int, str, float, bool]] = []  # node, text, share of links, heading
         self._parse(source)
+        self._settle()
 
-    # kind of a node: 0 plain, 1 boilerplate, 2 header (only its headings count inside an article)
+    # kind of a node: 0 plain, 1 boilerplate, 2 header (only its headings count inside an article), 3 hidden
     def _open(self, tag: str, attributes: str) -> None:
         words: list[str] = []
+        soft = tag in ("form", "fieldset") or tag not in NOISE_TAGS
         kind = 1 if tag in NOISE_TAGS else 2 if tag == "header" else 0
         if attributes:
             for name, value in _ATTRIBUTE.findall(attributes):
@@ -79,24 +85,27 @@ class Page:
                 value = value.strip("\"'").lower()
                 if name in ("class", "id"):
                     words += value.split()
-                elif name == "role" and value in NOISE_ROLES or name == "hidden":
-                    kind = 1
-                elif name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
-                    kind = 1
+                elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
+                    kind = 3
+                elif name == "role" and value in NOISE_ROLES and kind != 3:
+                    kind, soft = 1, False
         if words and tag not in ("html", "body", "article", "main"):
-            parts = set(_WORD.findall(" ".join(words)))
-            if parts & NOISE_WORDS:
-                kind = 1
-            elif "header" in parts and not kind:
+            # a class names its element by its first word: 'sidebar-left', not 'has-sidebar' or 'ad-free'
+            heads = {w[0] for w in map(_WORD.findall, words) if w and w[-1] != "free"}
+            if heads & NOISE_WORDS:
+                kind = kind if kind == 3 else 1
+            elif "header" in heads and not kind:
                 kind = 2
         parent = self._stack[-1][1] if self._stack else 0
         if tag in CONTAINERS:
             label = ".".join([tag, *sorted({_DIGITS.sub("#", w) for w in words})])
             self.node.append((parent, label, kind))
             parent = len(self.node) - 1
-        elif kind == 1:
-            self.node.append((parent, tag, 1))
+        elif kind in (1, 3):
+            self.node.append((parent, tag, kind))
             parent = len(self.node) - 1
+        if kind == 1 and soft:
+            self._soft.add(parent)
         self._stack.append((tag, parent))
 
     def _flush(self) -> None:
@@ -109,18 +118,42 @@ class Page:
             return
         at = self._stack[-1][1] if self._stack else 0
         heading = bool(self._stack) and self._stack[-1][0] in HEADINGS
-        good, k, inside = True, at, False
-        header = False
-        while k >= 0:
-            parent, label, kind = self.node[k]
-            good &= kind != 1
-            header |= kind == 2
-            inside |= label.partition(".")[0] in ("article", "main")
-            k = parent
-        good &= not header or (heading and inside)
-        share = min(1.0, linked / max(len(raw), 1))
-        worth = len(text) * (1 - 2 * share) if good else -0.2 * len(text) - 1
-        self.block.append((at if good else -1 - at, text, worth))
+        self._found.append((at, text, min(1.0, linked / max(len(raw), 1)), heading))
+
+    def _settle(self) -> None:
+        """Lift boilerplate marks from what wraps the page, then judge the blocks."""
+        total = [0] * len(self.node)
+        for at, text, _, _ in self._found:
+            total[at] += len(text)
+        own = list(total)
+        for k in range(len(self.node) - 1, 0, -1):  # parents come before their children
+            total[self.node[k][0]] += total[k]
+        tag = [label.partition(".")[0] for _, label, _ in self.node]
+        articles = [k for k in range(len(tag)) if tag[k] == "article"]
+        kept = {k for k in range(len(tag)) if tag[k] == "main"} | set(sorted(articles, key=lambda k: -total[k])[:1])
+        plain = list(own)  # text below a node that no mark below it covers
+        for k in range(len(self.node) - 1, 0, -1):
+            if self.node[k][2] == 0:
+                plain[self.node[k][0]] += plain[k]
+        rest, covered = plain[0], [False] * len(self.node)
+        for k, (parent, label, kind) in enumerate(self.node):
+            above = parent >= 0 and covered[parent]
+            # a wrapper: most of the text is in it, and hardly any elsewhere that is not boilerplate
+            if k in self._soft and kind == 1 and not above and 2 * total[k] > total[0] and 10 * rest < total[k]:
+                self.node[k], kind = (parent, label, 0), 0
+                rest += plain[k]
+            covered[k] = above or kind != 0
+        for at, text, share, heading in self._found:
+            good, k, inside, header, free = True, at, False, False, False
+            while k >= 0:
+                parent, _, kind = self.node[k]
+                good &= kind != 3 and (kind != 1 or free)
+                header |= kind == 2
+                inside |= tag[k] in ("article", "main")
+                free |= k in kept
+                k = parent
+            good &= not header or (heading and inside)
+            self.block.append((at if good else -1 - at, text, len(text) * (1 - 2 * share) if good else -0.2 * len(text) - 1))
 
     def _close_to(self, depth: int) -> None:
         self._flush()
@@ -197,16 +230,16 @@ class Page:
                     total[paths[k]] += worth
                 k = self.node[k][0]
         for (_, label, kind), path in zip(self.node, paths):
-            if kind == 1:
+            if kind in (1, 3):
                 total.pop(path, None)
         return total
 
-    def text(self, path: str) -> str:
-        """Good blocks under the elements on ``path``, in page order, joined by an empty line."""
+    def text(self, *chosen: str) -> str:
+        """Good blocks under the elements on any of the ``chosen`` paths, in page order, joined by an empty line."""
         paths = self.paths()
         inside = [False] * len(paths)
         for k, (parent, _, _) in enumerate(self.node):
-            inside[k] = paths[k] == path or (parent >= 0 and inside[parent])
+            inside[k] = paths[k] in chosen or (parent >= 0 and inside[parent])
         return "\n\n".join(text for node, text, _ in self.block if node >= 0 and inside[node])
 
 
