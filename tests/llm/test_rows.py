@@ -217,6 +217,17 @@ def test_html_generated(spark):
         assert got[r.page_id] == "\n\n".join(b for b in blocks if b)
 
 
+def test_html_nothing_of_own_container_lost(spark):
+    lead, body = "Lead " * 80, "Body " * 120
+    split = f"<html><body><main><div class=lead><p>{lead}</p></div><div class=body><p>{body}</p></div></main></body></html>"
+    narrow = f"<html><body><main><div class=body><p>{body * 3}</p></div></main></body></html>"
+    comments = f"<main><h1>Heading</h1><div class=body><p>{body}</p></div><div class=comments><p>{'Said ' * 150}</p></div></main>"
+    rows = [(0, "http://a.net/0", split), *((k, f"http://a.net/{k}", narrow) for k in range(1, 5)), (9, "http://b.net/", comments)]
+    by = {r.page_id: r.text for r in extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert by[0] == f"{lead.strip()}\n\n{body.strip()}" and by[1] == (body * 3).strip()
+    assert by[9] == f"Heading\n\n{body.strip()}"
+
+
 def test_html_marks_on_wrappers():
     def text(source):
         page = Page(source)

@@ -4,13 +4,13 @@ A page is parsed into blocks of text and the containers that hold them.  Every
 container is known by its generalised path: tags with their class and id words,
 digits replaced, positions dropped.  A block is worth its length, less where it
 is link text; boilerplate (by element, role or the first word of a class) is
-dropped and counts against the containers around it, unless its mark is on a wrapper of nearly all the
+dropped and worth nothing, unless its mark is on a wrapper of nearly all the
 page's text, or above a main or the longest article, which stay; hidden text
 always goes.  A container's score is the sum over its blocks.  The
 scores are votes: Spark sums them per host and path, and the best path of a
 host, the deeper one on ties, wins.  Every page is then extracted again from
-all its elements on the winning path; a page where that path holds less than
-half of its own best container's worth keeps its own best one.
+all its elements on the winning path and on its own best one, so nothing of
+that is lost where the host's path is narrower.
 
 Defined cases: null and empty html, and pages without text, give an empty text;
 a null url or one without ``://`` belongs to the host ''; unclosed, crossed and
@@ -153,7 +153,8 @@ class Page:
                 free |= k in kept
                 k = parent
             good &= not header or (heading and inside)
-            self.block.append((at if good else -1 - at, text, len(text) * (1 - 2 * share) if good else -0.2 * len(text) - 1))
+            # what text() drops is no charge on the container around it
+            self.block.append((at if good else -1 - at, text, len(text) * (1 - 2 * share) if good else 0.0))
 
     def _close_to(self, depth: int) -> None:
         self._flush()
@@ -258,8 +259,7 @@ def host_of(url: str | Column) -> Column:
     return F.translate(F.coalesce(host, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def extract_main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-                      own_share: float = 0.5) -> DataFrame:
+def extract_main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row (id, url, text, n_chars) per row of ``pages``."""
     rows = pages.select(F.col(id_col).alias("_id"), F.col(url_col).alias("_url"), host_of(url_col).alias("_host"),
                         F.col(html_col).alias("_html"))
@@ -289,9 +289,8 @@ def extract_main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str
                 page = Page(source or "")
                 scores = page.scores()
                 own = best_path(scores)
-                if own is not None and (path is None or scores.get(path, 0) < own_share * scores[own]):
-                    path = own
-                texts.append(page.text(path) if own is not None else "")
+                # the host's path adds what it has; nothing of the page's own best container is given up for it
+                texts.append("" if own is None else page.text(own, path) if scores.get(path, 0) > 0 else page.text(own))
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string()),
                                               pa.array([len(t) for t in texts], pa.int64())], names=schema.names)
 
