@@ -180,6 +180,18 @@ def test_decontaminate(spark, hard_docs, hard_rows, no_docs):
     assert decontaminate(no_docs, bench, ["doc_id"]).collect() == []
 
 
+def test_decontaminate_scripts_without_blanks_and_short_items(spark):
+    han, kana, thai = "机器学习是人工智能的一个重要分支。", "今日は東京で、カレーを食べました", "ประเทศไทยมีเมืองหลวงชื่อกรุงเทพ"
+    items = [(1, han), (2, kana), (3, thai), (4, "Zanzibar quixotic flugelhorn"), (5, "𠀀𠀁𠀂𠀃𠀄𠀅"), (6, "!?")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = [(1, "前言，" + han[:12] + "，后记"), (2, "序" + kana + "終"), (3, "คำ" + thai), (4, "a Zanzibar, QUIXOTIC flugelhorn b"),
+            (5, "x𠀀𠀁𠀂𠀃𠀄𠀅y"), (10, "今天天气很好，我们去公园散步吧"), (11, "Zanzibar flugelhorn quixotic"), (12, "é à ü naïve"), (13, "机器学习")]
+    got = {r.doc_id: (r.contaminated, r.item_id) for r in
+           decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), bench, ["doc_id"]).collect()}
+    assert {k: got[k] for k in range(1, 6)} == {k: (1, k) for k in range(1, 6)}
+    assert {got[k][0] for k in range(10, 14)} == {0}
+
+
 # -- html -----------------------------------------------------------------
 def wrap(article, k):
     return (f'<!DOCTYPE html><html><head><title>T{k}</title><script>var a="<p>no</p>";</script></head><body><header class="site"><h1>Site</h1>'

@@ -1,7 +1,8 @@
 """Benchmark decontamination by greedy string tiling.
 
 Texts become tokens (runs of letters, digits and multi-byte characters, ASCII
-lower-cased).  Windows of ``min_match`` tokens, hashed in one Karp-Rabin pass,
+lower-cased; every character of a script without blanks is a token of its own,
+and full-width punctuation parts tokens).  Windows of ``min_match`` tokens, hashed in one Karp-Rabin pass,
 are the seeds: a document window that is also a window of a test item joins the
 two.  For each joined (document, item) the longest run of seeds on one diagonal
 is the longest common passage; it is marked as a tile in both texts, seeds that
@@ -15,8 +16,8 @@ beyond ``max_items_bytes`` is split by a hash of the item id into blocks, each
 compared with all documents.
 
 Defined cases: null and empty texts have no tokens and are clean; items of
-fewer than ``min_match`` tokens cannot be told from common phrases and are
-ignored; repeated items count once each and the smallest id wins ties; an empty
+fewer than ``min_match`` tokens count as covered in full where all their tokens
+stand in a row, and not at all elsewhere; items without tokens are ignored; repeated items count once each and the smallest id wins ties; an empty
 test set finds nothing; every row of the documents is judged by itself.
 """
 
@@ -37,11 +38,46 @@ MAX_ITEMS_BYTES = 32 << 20
 _BITS = 22
 
 
+#: Scripts written without blanks, as (first, last) code points of three UTF-8 bytes: Thai, Lao, Tibetan, Myanmar, Khmer,
+#: iteration marks, kana, bopomofo, Han, Yi, compatibility Han, half-width kana; above U+20000 all are Han.
+_ALONE = ((0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3041, 0x312F), (0x31A0, 0x31BF), (0x31F0, 0x31FF),
+          (0x3400, 0x4DBF), (0x4E00, 0xA4CF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F))
+#: Full-width punctuation.
+_PARTS = ((0x3000, 0x3004), (0x3008, 0x303F), (0x30FB, 0x30FB), (0xFF01, 0xFF0F), (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65))
+_CLASS = np.ones(1 << 16, np.uint8)
+for _kind, _spans in ((2, _ALONE), (0, _PARTS)):
+    for _first, _last in _spans:
+        _CLASS[_first: _last + 1] = _kind
+
+
+def token_spans(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, counts per text) of the tokens."""
+    lead = np.flatnonzero(raw[: max(len(raw) - 2, 0)] >= 0xE0)
+    if not len(lead):
+        return tokens(raw, offs, WORD_BYTE)
+    kind, first = WORD_BYTE[raw].astype(np.uint8), np.zeros(len(raw), bool)  # 0 parts tokens, 1 in a run, 2 a token alone
+    three, four = lead[raw[lead] < 0xF0], lead[(raw[lead] >= 0xF0) & (raw[lead + 1] >= 0xA0)]
+    b0, b1, b2 = (raw[three + k].astype(np.int64) for k in range(3))
+    of = _CLASS[((b0 & 15) << 12) | ((b1 & 63) << 6) | (b2 & 63)]
+    for k in range(3):
+        kind[three + k] = of
+    four = four[four + 3 < len(raw)]
+    for k in range(4):
+        kind[four + k] = 2
+    first[three[of == 2]] = first[four] = True
+    edge = np.zeros(len(raw) + 1, bool)
+    edge[offs] = True
+    fresh = np.append(True, kind[1:] != kind[:-1]) | first | edge[:-1]
+    starts = np.flatnonzero((kind > 0) & fresh)
+    ends = np.flatnonzero((kind > 0) & np.append(fresh[1:], True)) + 1
+    return starts, ends, np.diff(np.searchsorted(starts, offs))
+
+
 def token_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(hash of every token, tokens per row)."""
     raw, offs = text_view(column)
     raw = LOWER[raw]
-    starts, ends, counts = tokens(raw, offs, WORD_BYTE)
+    starts, ends, counts = token_spans(raw, offs)
     return span_hash(prefix_hash(raw), starts, ends), counts
 
 
@@ -87,6 +123,13 @@ class Items:
         gram, first = ngrams(hashes, counts, width)
         begin = np.cumsum(counts) - counts
         owner = np.repeat(np.arange(len(counts)), counts)[first]
+        self.short = []  # (tokens, sorted hashes, items) of the items that are shorter than a window
+        for n in np.unique(counts[(counts > 0) & (counts < width)]).tolist():
+            whole, at = ngrams(hashes, counts, n)
+            of = np.repeat(np.arange(len(counts)), counts)[at]
+            whole, of = whole[counts[of] == n], of[counts[of] == n]
+            by = np.argsort(whole, kind="stable")
+            self.short.append((n, whole[by], of[by]))
         by = np.argsort(gram, kind="stable")
         self.grams, start = np.unique(gram[by], return_index=True)
         self.start = np.append(start, len(gram)).astype(np.int64)
@@ -115,6 +158,13 @@ class Items:
         for a, b in zip(pair, [*pair[1:], len(row)]):
             covered = sum(n for _, _, n in tile(token[a:b], where[a:b], self.width))
             out.append((row[a], item[a], covered / self.tokens[item[a]]))
+        of_token = np.repeat(np.arange(len(counts)), counts)
+        for n, whole, of in self.short:
+            gram, first = ngrams(hashes, counts, n)
+            begin = np.searchsorted(whole, gram)
+            many = np.searchsorted(whole, gram, "right") - begin
+            pairs = np.stack([np.repeat(of_token[first], many), of[ragged(begin, many)]])
+            out += [(r, i, 1.0) for r, i in np.unique(pairs, axis=1).T]
         rows, items, share = zip(*out) if out else ((), (), ())
         return np.array(rows, np.int64), np.array(items, np.int64), np.array(share, np.float64)
 
