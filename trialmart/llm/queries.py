@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import decontaminate
+from .exact import exact_dedup
 from .grid_order import near_duplicate_vectors
 from .html_text import extract_main_text
 from .ngram_join import jaccard_join
@@ -172,3 +173,16 @@ FROM words LEFT JOIN kept USING (doc_id)
 @query
 def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_bytes(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+@query
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_exact_dedup"] = r"""
+WITH digests AS (
+    SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents),
+groups AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM digests GROUP BY text_sha256)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM digests JOIN groups USING (text_sha256)
+"""
