@@ -11,6 +11,7 @@ from .decontaminate import decontaminate
 from .exact import exact_dedup
 from .grid_order import near_duplicate_vectors
 from .html_text import extract_main_text
+from .importance import resample
 from .ngram_join import jaccard_join
 from .pieces import Pieces, encode
 from .quality import fit_quality, score_quality
@@ -186,3 +187,9 @@ WITH digests AS (
 groups AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM digests GROUP BY text_sha256)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM digests JOIN groups USING (text_sha256)
 """
+
+
+@query
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
