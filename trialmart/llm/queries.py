@@ -13,6 +13,7 @@ from .grid_order import near_duplicate_vectors
 from .html_text import extract_main_text
 from .importance import resample
 from .ngram_join import jaccard_join
+from .periodic import periodic_runs, strongest
 from .pieces import Pieces, encode
 from .quality import fit_quality, score_quality
 from .suffix_array import remove_repeated_bytes
@@ -193,3 +194,33 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d
 def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """The documents of the runs contract: a tenth of them repeats its words from word a on with period p."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+
+    def planted(words):
+        n = F.size(words)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        source = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")
+        return F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, source(i))), " ")
+
+    # The array of one element binds the words, so that the inner function reads them and does not cut the text again.
+    words = F.array(F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), 0))
+    text = F.when((h % 10 == 0) & F.rlike("text", F.lit(r"[^\x20\x09-\x0D]")), F.get(F.transform(words, planted), F.lit(0)))
+    return docs.withColumn("text", F.coalesce(text, "text"))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(_with_planted_runs(table(spark, sf_dir, "documents").select("doc_id", "text")), ["doc_id"])
+    best = found.withColumn("best", strongest(F.col("runs")))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed_text", 256).alias("collapsed_sha256"))
