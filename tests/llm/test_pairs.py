@@ -95,18 +95,23 @@ def test_vectors_hard(spark):
     rows += [(400, rows[5][1], 1), (401, rows[5][1], 1), (402, rows[5][1], 0), (403, [x * 2 for x in rows[5][1]], 1), (5, rows[5][1], 1),
              (404, None, 1), (405, [0.0] * 16, 1), (406, [float("nan")] + [1.0] * 15, 1), (407, [float("inf")] + [1.0] * 15, 1),
              (408, [None] + [1.0] * 15, 1), (409, rows[5][1], None), (410, [1.0], 1), (411, [], 1), (None, rows[5][1], 1)]
-    ok = lambda i, v, y: i is not None and y is not None and v and len(v) == 16 and None not in v and np.isfinite(v).all() and any(v)
+    # tiny and huge components, and vectors of other lengths beside them
+    rows += [(420, [1e-170] * 16, 1), (421, [3e-170] * 15 + [2e-170], 1), (422, [5e-324] * 16, 1), (423, [1.0] * 16, 1), (424, [1e200] * 16, 1),
+             (425, [-1e308] * 16, 1), (426, [x * 1e-200 for x in rows[5][1]], 1), (430, [1.0, 2.0], 1), (431, [1.0, 2.0], 1),
+             (432, [2.0, 4.01], 1), (433, [1.0, 2.0], 0), (434, [2.0], 1), (435, [-1.0], 1)]
+    rows += [(500 + i, [float(x) for x in rng.standard_normal(9) * 0.02 + (i % 3 == np.arange(9))], 1) for i in range(40)]
+    ok = lambda i, v, y: i is not None and y is not None and v and None not in v and np.isfinite(v).all() and any(v)
     links, edges = [0] * len(rows), []
     for a, (i, u, x) in enumerate(rows):
         for b, (j, v, y) in enumerate(rows):
-            if a != b and ok(i, u, x) and ok(j, v, y) and x == y:
-                p, q = np.array(u), np.array(v)
+            if a != b and ok(i, u, x) and ok(j, v, y) and x == y and len(u) == len(v):
+                p, q = (np.array(t) / np.abs(t).max() for t in (u, v))
                 if p @ q / (np.sqrt(p @ p) * np.sqrt(q @ q)) >= 0.98:
                     links[a] += 1
                     edges.append((i, j))
     root = classes({i for i, _, _ in rows if i is not None}, edges)
     want = sorted(((i, n, root.get(i), i is None or root[i] == i) for (i, _, _), n in zip(rows, links)), key=str)
-    df = spark.createDataFrame([(*r, 1, "x") for r in rows], "vec_id long, embedding array<float>, label int, _id int, _x string")
+    df = spark.createDataFrame([(*r, 1, "x") for r in rows], "vec_id long, embedding array<double>, label int, _id int, _x string")
     for block in (1024, 16):
         got = near_duplicate_vectors(df, block=block).collect()
         assert sorted(map(tuple, got), key=str) == want

@@ -1,4 +1,6 @@
+import random
 import re
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -6,7 +8,7 @@ import corpus_pipeline as cp
 from trialmart.llm import queries
 from trialmart.llm.spark_ import stored
 
-from .conftest import SF, table
+from .conftest import SF, table, words
 from .test_pairs import brute_jaccard
 from .test_repeats import W
 
@@ -66,10 +68,27 @@ def test_hard_rows(spark, hard_docs, hard_rows, no_docs):
             docs = stored(stage(spark, docs, SF))
             if name != "tokens":
                 assert docs.columns == start.columns
-    near = cp.near_duplicates(spark, hard_docs, SF)
-    ids = [r.doc_id for r in near.collect()]
-    assert len([i for i in ids if i is not None]) == len({i for i in ids if i is not None})
-    assert ids.count(None) == 2 and {19, 22, 200} <= set(ids) and 4 not in ids
+
+
+def test_near_duplicates_repeated_ids(spark, hard_docs, hard_rows):
+    """Every row is a document of its own, also where ids repeat; brute force over rows."""
+    rng = random.Random(8)
+    article = words(rng, 80)
+    more = [(5000, None, "en", "s", 1), (5000, article, "en", "s", 1), (5000, words(rng, 50), "en", "s", 1),
+            (4999, article.replace(" ", "\n"), "en", "s", 1), (5001, article + " x", "en", "s", 1), (5001, "", "en", "s", 1)]
+    rows = hard_rows + [(*r, 0.5, "o", 7) for r in more]
+    docs = hard_docs.unionByName(spark.createDataFrame(rows[len(hard_rows):], hard_docs.schema))
+    named = [r for r in rows if r[0] is not None]
+    class_of = {k: c for k, c, _ in brute_jaccard([(k, r[1]) for k, r in enumerate(named)])}
+    best = {}
+    for k, r in enumerate(named):
+        best[class_of[k]] = min(best.get(class_of[k], r[0]), r[0])
+    got = Counter((r.doc_id, r.text) for r in cp.near_duplicates(spark, docs, SF).collect())
+    assert Counter(i for i, _ in got.elements() if i is not None) == Counter(best.values())
+    assert set(got) <= {r[:2] for r in rows} and got[5000, None] == 1 and got[5001, ""] == 1 and got[4999, article.replace(" ", "\n")] == 1
+    assert {i for i, t in got if t == article or t == article + " x"} == set()
+    assert len([1 for i, t in got if i == 13]) == 2  # one id, two unlike texts
+    assert sum(n for (i, _), n in got.items() if i is None) == 2
 
 
 def test_run(spark):
