@@ -6,9 +6,10 @@ is written as Parquet and read again as the next one's ``docs``.  All but the
 last return the columns of ``documents``.
 
 1. quality: rows that the neighbour vote scores below 0.5 go.
-2. near_duplicates: of every group of texts linked by a word 5-gram Jaccard
-   similarity of 0.8 or more, the smallest id stays; texts without words and
-   rows without an id stay as they are.
+2. near_duplicates: of every group of rows whose texts are linked by a word
+   5-gram Jaccard similarity of 0.8 or more, one row with the smallest id stays;
+   rows that share an id but no similar text, texts without words and rows
+   without an id stay as they are.
 3. repeated_passages: bytes of 50-byte strings that an earlier document has go
    from the text (``n_chars`` follows; a character cut apart goes whole).
 4. contaminated: rows that cover half of a benchmark item or more go.
@@ -17,7 +18,7 @@ last return the columns of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trialmart.llm.decontaminate import decontaminate
@@ -40,11 +41,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    first = (jaccard_join(docs).where("doc_id = class_id").select(F.col("doc_id").alias("_id")).distinct())
-    rows = _carried(docs).join(first, F.col("doc_id") == F.col("_id"))
-    one = F.row_number().over(Window.partitionBy("_id").orderBy("text"))
-    return (rows.withColumn("_n", one).where("_n = 1").select("_row.*")
-            .unionByName(docs.where("doc_id is null")))
+    # Written once, so that a row keeps its number; rows that share an id are rows of their own.
+    rows = stored(_carried(docs).withColumn("_key", F.monotonically_increasing_id()))
+    named = rows.where("doc_id is not null")
+    classes = jaccard_join(named.select("_key", "text"), id_col="_key").select("_key", "class_id")
+    first = (named.select("_key", "doc_id").join(classes, "_key")
+             .groupBy("class_id").agg(F.min(F.struct("doc_id", "_key"))["_key"].alias("_key")))
+    return (named.join(first, "_key", "left_semi").unionByName(rows.where("doc_id is null")).select("_row.*"))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
