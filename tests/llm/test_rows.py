@@ -255,6 +255,56 @@ def test_html_marks_on_wrappers():
     assert text(f"<body><div hidden><article><p>{body}</p></article></div></body>") == ""
 
 
+def page_text(source):
+    page = Page(source)
+    best = best_path(page.scores())
+    return "" if best is None else page.text(best)
+
+
+def test_html_noise_beside_short_articles():
+    short, long = "A short article of some fifty characters, it is.", "Noise " * 170
+    for noise in (f"<div class=comments><p>{long}</p></div>", f"<form><p>{long}</p></form>", f"<div class=cookie-notice><p>{long}</p></div>",
+                  f"<div id=sidebar><p>{long}</p></div>", f"<div class=menu><p>{long}</p></div>"):
+        assert page_text(f"<body><div class=post><p>{short}</p></div>{noise}</body>") == short, noise
+    assert page_text(f"<body><div class=comments><p>{long}</p></div></body>") == ""
+    assert page_text(f"<body><div class=cookie><p>{long}</p></div></body>") == ""
+    assert page_text("<body><form><label>Mail</label>Text</form></body>") == ""
+
+
+def test_html_compound_marks():
+    text = "<p>" + "Body " * 50 + "</p>"
+    for name in ("post-comments", "user-comments", "reader_comments", "post__comments", "userComments", "site-footer", "main-nav", "top-menu",
+                 "page-sidebar", "article-share", "entry-related", "google-ad", "entry-comments-area", "comments-container", "siteFooter", "ad-2"):
+        for attribute in (f"class='{name}'", f"id='{name}'", f"class='x {name} y'"):
+            source = f"<body><article>{text}<div {attribute}><p>Noise of its own</p></div>{text}</article></body>"
+            assert page_text(source) == "\n\n".join([("Body " * 50).strip()] * 2), attribute
+    for name in ("has-sidebar", "with-comments", "no-ads", "post-without-comments", "ad-free", "elementor-widget", "commentary", "adagio"):
+        source = f"<body><article>{text}<div class='{name}'><p>Part of it</p></div></article></body>"
+        assert page_text(source).endswith("Part of it"), name
+
+
+def test_html_articles_that_are_comments():
+    body, long = "Body " * 30, "Said " * 200
+    post = f"<div class=post><p>{body}</p></div>"
+    for noise in (f"<div class=comments><article><p>{long}</p></article></div>", f"<aside><article><p>{long}</p></article></aside>",
+                  f"<article class=comment><p>{long}</p></article>", f"<section id=post-comments><article class='comment odd'><p>{long}</p></article></section>"):
+        assert page_text(f"<body>{post}{noise}</body>") == body.strip(), noise
+        assert page_text(f"<body><article><p>{body}</p>{noise}</article></body>") == body.strip(), noise
+
+
+def test_html_vote_corrects_a_page(spark):
+    post, rail = "Post text " * 60, "Rail text " * 80
+    page = lambda extra="": f"<html><body><div class=post><p>{post}</p></div>{extra}</body></html>"
+    side = f"<div class=rail><p>{rail}</p></div>"
+    rows = [(k, f"http://a.net/{k}", page()) for k in range(9)] + [(9, "http://a.net/9", page(side))]
+    rows += [(20, "http://alone.net/", page(side))]  # no other page votes: nothing is given up
+    # another layout: the article is not where the host's path is
+    rows += [(30, "http://a.net/30", f"<html><body><div class=story><p>{post * 9}</p></div><div class=post><p>Short.</p></div></body></html>")]
+    by = {r.page_id: r.text for r in extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert {by[k] for k in range(10)} == {post.strip()}
+    assert by[20] == f"{post.strip()}\n\n{rail.strip()}" and by[30].startswith((post * 9).strip())
+
+
 def test_html_long_unclosed():
     page = Page("<div class=x>" * 2000 + "<a href='" * 500 + "deep text " * 1000)
     assert best_path(page.scores()) is not None or page.scores() is not None
