@@ -43,6 +43,21 @@ LEFT JOIN orders o ON o.o_orderkey = l.l_orderkey
 LEFT JOIN customer c ON c.c_custkey = o.o_custkey
 LEFT JOIN nation sn ON sn.n_nationkey = s.s_nationkey
 LEFT JOIN nation cn ON cn.n_nationkey = c.c_nationkey""",
+    "lookup_roles_melted": """
+WITH lines AS (
+  SELECT l_orderkey, l_linenumber, CASE WHEN l_suppkey % 5 <> 0 THEN l_suppkey END AS k1,
+         CASE WHEN l_linenumber = 1 THEN -1 ELSE l_suppkey % 40 END AS k2, l_suppkey AS k3 FROM lineitem)
+SELECT l_orderkey, l_linenumber, CAST(k1 AS BIGINT) AS first, CAST(k2 AS BIGINT) AS second, CAST(k3 AS BIGINT) AS third,
+       a.s_name AS first_name, a.s_nationkey AS first_nation, a.s_nationkey AS first_nation_again,
+       b.s_name AS second_name, c.s_name AS third_name, c.s_suppkey AS third_key
+FROM lines LEFT JOIN supplier a ON a.s_suppkey = k1 LEFT JOIN supplier b ON b.s_suppkey = k2
+LEFT JOIN supplier c ON c.s_suppkey = k3""",
+    "left_join_hot_keys": """
+WITH lines AS (
+  SELECT CASE WHEN l_orderkey % 10 < 6 THEN 7 WHEN l_orderkey % 10 = 6 THEN 11 WHEN l_orderkey % 10 = 7 THEN NULL
+              ELSE o_custkey END AS k, l_orderkey, l_linenumber
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
+SELECT c_custkey, c_name, l_orderkey, l_linenumber FROM customer LEFT JOIN lines ON k = c_custkey""",
     "lookup_reference": """
 SELECT o.o_orderkey, substr(o.o_orderpriority, 1, 1) AS code, r.description AS priority_name,
        r.report_sort AS priority_sort

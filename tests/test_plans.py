@@ -1,5 +1,7 @@
 """Plan assertions: the physical shape Catalyst picks for the operators."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,15 +74,70 @@ def test_hot_study_is_split_in_statuses(skewed):
     assert sorted(map(str, out.drop("xDMrunDt").collect())) == sorted(map(str, plain.collect()))
 
 
-def test_hot_key_is_dealt_over_tasks(skewed):
-    """M1, M4: the rows of one key on the many side reach several tasks, and no row is lost or doubled."""
-    left = skewed.range(60).selectExpr("IF(id = 59, NULL, id) AS k", "id AS l")
-    right = skewed.range(10_000).selectExpr("IF(id % 10 < 7, 3L, id % 50) AS r_k", "id AS r")
-    out = op.expand_left(left, right, "k", "r_k", "r")
+@pytest.fixture
+def wide_shuffle(skewed):
+    before = skewed.conf.get("spark.sql.shuffle.partitions")
+    skewed.conf.set("spark.sql.shuffle.partitions", "200")
+    yield skewed
+    skewed.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_hot_key_is_dealt_evenly(wide_shuffle):
+    """M1, M4: a key with 70 % of the rows and 200 partitions: no task has twice the median, no row is lost or doubled."""
+    left = wide_shuffle.range(4000).selectExpr("IF(id = 59, NULL, id) AS k", "id AS l")
+    right = wide_shuffle.range(60_000).selectExpr("IF(id % 10 < 7, 3L, id % 5000) AS r_k", "id AS r")
+    out = op.expand_left(left, right, "k", "r_k", "r", least_rows=50)
     plain = left.join(right, F.expr("k = r_k"), "left")
+    assert out.columns == ["k", "l", "r_k", "r"]
     assert sorted(map(str, out.select("k", "l", "r").collect())) == sorted(map(str, plain.select("k", "l", "r").collect()))
-    tasks = out.where("k = 3").select(F.spark_partition_id().alias("p")).distinct().count()
-    assert tasks >= 4
+    rows = sorted(r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect())
+    assert len(rows) == 200 and rows[-1] <= 2 * rows[100]
+    whole = max(r["count"] for r in plain.groupBy(F.spark_partition_id().alias("p")).count().collect())
+    assert whole > 40_000
+
+
+def test_only_heavy_keys_are_salted(spark):
+    keys = spark.range(50_000).selectExpr("CASE WHEN id % 2 = 0 THEN 1 WHEN id % 10 = 1 THEN 2 WHEN id % 10 = 3 THEN NULL ELSE id END AS k")
+    salts = {r.k: r.salts for r in op.heavy_keys(keys, "k", parts=100, pieces=4).collect()}
+    assert set(salts) == {1, 2}  # 50 % and 10 % of the rows, nulls don't count
+    assert salts[1] == pytest.approx(4 * 100 * 25 / 45, abs=2) and salts[2] == pytest.approx(4 * 100 * 5 / 45, abs=2)
+    assert op.heavy_keys(keys.where("k > 2"), "k", parts=100).isEmpty() and op.heavy_keys(keys.limit(0), "k").isEmpty()
+    plan = op.expand_left(spark.range(9), keys.where("k > 2").selectExpr("k", "k AS r"), "id", "k", "r")
+    assert "__salt" not in plan._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_user_roles_share_one_join(spark):
+    """M4 without broadcasts: the eight user roles need one join with the users and one exchange of the fact."""
+    src = from_testdata(spark, SMOKE)
+    wanted = sorted(map(str, MartBuild(src, run_ts=RUN_TS).calendar.collect()))
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in off}
+    try:
+        for k, v in off.items():
+            spark.conf.set(k, v)
+        calendar = MartBuild(src, run_ts=RUN_TS).calendar
+        assert sorted(map(str, calendar.collect())) == wanted and len(wanted) > 100
+        final = calendar._jdf.queryExecution().executedPlan().toString()
+        logical = calendar._jdf.queryExecution().optimizedPlan().toString()
+        assert len(re.findall(r"Join Inner, \(__key#", logical)) == 1 and "pk_user" not in "".join(re.findall("Join .*", logical))
+        assert final.split("== Initial Plan ==")[0].count("hashpartitioning(__fact_hash") == 1
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_melted_roles_equal_single_lookups(spark):
+    dim = spark.createDataFrame([(1, "a", 1.5), (2, "b", None), (3, None, 3.0)], "pk long, name string, x double")
+    df = spark.createDataFrame([(k, a, b) for k in range(40) for a, b in [(1, 2), (None, 3), (3, 3), (9, None), (None, None), (2, 1)]],
+                               "id long, a long, b long").unionByName(spark.createDataFrame([(1, 1, 2)], "id long, a long, b long"))
+    roles = {"a": {"name": "a_name", "pk": "a_pk"}, "b": {"name": "b_name", "x": ["b_x", "b_x2"]}}
+    melted, plain = op.lookup_roles_melted(df, dim, "pk", roles), df
+    for fk, columns in roles.items():
+        plain = op.lookup(plain, dim, (fk, "pk"), columns)
+    assert melted.columns == plain.columns
+    assert sorted(map(str, melted.collect())) == sorted(map(str, plain.collect()))
+    assert op.lookup_roles_melted(df.limit(0), dim, "pk", roles).collect() == []
+    assert op.lookup_roles_melted(df, dim.limit(0), "pk", roles).where("a_name IS NOT NULL OR b_x IS NOT NULL").count() == 0
 
 
 def test_eav_is_scanned_once(spark):

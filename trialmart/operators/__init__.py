@@ -1,7 +1,8 @@
 """Reusable DataFrame operators behind the marts.
 
 The operators are lazy plan fragments, except ``assign_keys`` (checkpoints the
-numbered rows) and ``check_unique`` / ``eav_pivot`` (one aggregate job).  Scale
+numbered rows), ``check_unique`` / ``eav_pivot`` and ``expand_left`` (one
+aggregate job).  Scale
 notes that apply throughout:
 
 * No join is hinted.  Spark broadcasts a side whose size, estimated or measured
@@ -11,7 +12,9 @@ notes that apply throughout:
 * Latest-per-group uses aggregate + semi join instead of a window, so a hot
   group is reduced map-side instead of being sorted in one task.
 * A left join to a many side with hot keys is ``expand_left``: AQE cannot split
-  the right side of an outer join, so the keys are salted.
+  the right side of an outer join, so heavy keys are measured and salted.
+* A dimension in many roles is ``lookup_roles``: one join for all of them where
+  it is too large for a broadcast.
 """
 
 from __future__ import annotations
@@ -21,8 +24,16 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trialmart.operators.roles import lookup_roles, lookup_roles_melted
+from trialmart.operators.skew import expand_left, frequent_keys, heavy_keys
 from trialmart.session import checkpoint_dir
 
+__all__ = [
+    "lookup", "lookup_roles", "lookup_roles_melted", "folded", "distinct_collated", "expand_left", "frequent_keys",
+    "heavy_keys", "string_list", "filtered_count", "latest_per_group", "exclude_active", "eav_slots", "eav_pivot",
+    "union_tagged", "assign_keys", "check_unique",
+]
+
 _counter = [0]
 
 
@@ -77,14 +88,6 @@ def lookup(df: DataFrame, dim: DataFrame, on, columns: Mapping[str, str | Sequen
     return df.join(right, cond, "left").drop(*keys)
 
 
-def lookup_roles(df: DataFrame, dim: DataFrame, pk: str,
-                 roles: Mapping[str, Mapping[str, str | Sequence[str]]]) -> DataFrame:
-    """The same dimension joined once per role (JOI-02): ``{fk: {dim_col: out}}``."""
-    for fk, cols in roles.items():
-        df = lookup(df, dim, (fk, pk), cols)
-    return df
-
-
 def folded(text: Column) -> Column:
     """Text as a case-insensitive, blank-padding collation compares it: lower case, no trailing blanks."""
     return F.rtrim(F.lower(text))
@@ -102,31 +105,6 @@ def distinct_collated(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return grouped.select(*[F.col("__row").getField(c).alias(c) for c in columns])
 
 
-def expand_left(df: DataFrame, right: DataFrame, key: str, right_key: str, spread_by: str,
-                keys: DataFrame | None = None, salts: int = 32, clustered: bool = False) -> DataFrame:
-    """Left join to a many side whose keys may be hot.
-
-    The right rows of a key are dealt over ``salts`` sub-keys by a hash of
-    ``spread_by``; a left row is repeated for the sub-keys that its key really
-    has (one set of at most ``salts`` numbers per key, combined map-side), so a
-    key with a third of all rows is joined in up to ``salts`` tasks.  Left rows
-    without a match are kept once, with NULLs.  ``keys`` may give the
-    (``right_key``, ``spread_by``) pairs of ``right`` from a cheaper source, for
-    instance its base table before the lookups.  ``clustered`` asks for a
-    sort-merge join, whose output lies together by key when it is written.
-    """
-    salt, have, here = _fresh("__salt"), _fresh("__have"), _fresh("__here")
-    dealt = F.pmod(F.xxhash64(spread_by), F.lit(salts))
-    rk = _fresh("__rk")
-    present = ((right if keys is None else keys).groupBy(F.col(right_key).alias(rk))
-               .agg(F.collect_set(dealt).alias(have)))
-    right = right.withColumn(salt, dealt)
-    df = (df.join(present, F.col(key) == F.col(rk), "left").drop(rk)
-          .withColumn(here, F.explode_outer(have)).drop(have))
-    on = (F.col(key) == F.col(right_key)) & (F.col(here) == F.col(salt))
-    return df.join(right.hint("merge") if clustered else right, on, "left").drop(here, salt)
-
-
 def string_list(df: DataFrame, key: str, value: str, sep: str = " | ",
                 out: str = "value_list") -> DataFrame:
     """Distinct values per key joined by ``sep`` in value order (AGG-01).

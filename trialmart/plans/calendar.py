@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trialmart import functions as fn
-from trialmart.operators import expand_left, latest_per_group, lookup
+from trialmart.operators import expand_left, latest_per_group, lookup, lookup_roles
 from trialmart.sources import SourceSet
 
 # Fixed code values: calendar statuses Active and Reactivated.
@@ -83,11 +83,11 @@ def build_calendar(src: SourceSet, run_ts=None, since: str = CALENDAR_SINCE) ->
     df = lookup(df, src["er_study"], ("__ea_chain", "pk_study"),
                 {"pk_study": "pkStudyID_st", "study_number": "studyNumber_st",
                  "study_title": "studyTitle_st"})
-    for fk, p in [("__ea_creator", "__ea_cu"), ("__ea_modby", "__ea_mu"),
-                  ("__se1_creator", "__se1_cu"), ("__se1_modby", "__se1_mu"),
-                  ("__ses_creator", "__ses_cu"), ("__ses_modby", "__ses_mu"),
-                  ("__sps_creator", "__sps_cu"), ("__sps_modby", "__sps_mu")]:
-        df = lookup(df, users, (fk, "pk_user"), _names(p))
+    df = lookup_roles(df, users, "pk_user", {
+        fk: _names(p) for fk, p in [
+            ("__ea_creator", "__ea_cu"), ("__ea_modby", "__ea_mu"), ("__se1_creator", "__se1_cu"),
+            ("__se1_modby", "__se1_mu"), ("__ses_creator", "__ses_cu"), ("__ses_modby", "__ses_mu"),
+            ("__sps_creator", "__sps_cu"), ("__sps_modby", "__sps_mu")]})
 
     return df.select(
         F.col("__ea_id").alias("pkEventID_ea"),

@@ -1,7 +1,8 @@
 """M3 ``dm_patient``: active patient-protocols x status records x facility.
 
 Plan shape: the patient-protocol table drives; code lists, sites and users
-are broadcast lookups (after the size guard); status records, facility rows
+are lookups that Spark broadcasts while their bytes allow it, the user roles of
+a table share one join beyond that; status records, facility rows
 and the person master are the large sides and join on the person key.  The
 additional-race list is pre-aggregated per person (distinct pairs first,
 so the aggregation is partial map-side) before it is joined back.
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trialmart import functions as fn
-from trialmart.operators import lookup, string_list
+from trialmart.operators import lookup, lookup_roles, string_list
 from trialmart.sources import SourceSet
 
 # Fixed code values of the source system.
@@ -46,10 +47,10 @@ def build_patient(src: SourceSet, run_ts=None) -> DataFrame:
     pp = lookup(pp, sites, ("fk_site_enrolling", "pk_site"),
                 {"site_name": "__enroll_site", "fk_codelst_type": "__enroll_site_type"})
     pp = lookup(pp, codes, ("__enroll_site_type", "pk_codelst"), {"codelst_desc": "__stype"})
-    for fk, role in [("fk_user", "__enroll"), ("fk_userassto", "__assign"),
-                     ("patprot_physician", "__phys"), ("creator", "__ppcreate"),
-                     ("last_modified_by", "__ppmod")]:
-        pp = lookup(pp, users, (fk, "pk_user"), _user_cols(role))
+    pp = lookup_roles(pp, users, "pk_user", {
+        fk: _user_cols(role) for fk, role in [
+            ("fk_user", "__enroll"), ("fk_userassto", "__assign"), ("patprot_physician", "__phys"),
+            ("creator", "__ppcreate"), ("last_modified_by", "__ppmod")]})
     pp = lookup(pp, codes, ("fk_codelstloc", "pk_codelst"), {"codelst_desc": "__treatloc"})
     pp = lookup(pp, sites, ("patprot_treatingorg", "pk_site"), {"site_name": "__treatorg"})
     pp = lookup(pp, codes, ("fk_codelst_ptst_dth_stdrel", "pk_codelst"), {"codelst_desc": "__dthrel"})
@@ -60,9 +61,9 @@ def build_patient(src: SourceSet, run_ts=None) -> DataFrame:
     pss = lookup(pss, codes, ("fk_codelst_stat", "pk_codelst"), {"codelst_desc": "__pss_stat"})
     pss = lookup(pss, codes, ("screening_outcome", "pk_codelst"), {"codelst_desc": "__pss_scrout"})
     pss = lookup(pss, codes, ("patstudystat_reason", "pk_codelst"), {"codelst_desc": "__pss_reason"})
-    for fk, role in [("screened_by", "__screener"), ("creator", "__psscreate"),
-                     ("last_modified_by", "__pssmod")]:
-        pss = lookup(pss, users, (fk, "pk_user"), _user_cols(role))
+    pss = lookup_roles(pss, users, "pk_user", {
+        fk: _user_cols(role) for fk, role in [
+            ("screened_by", "__screener"), ("creator", "__psscreate"), ("last_modified_by", "__pssmod")]})
     pss = pss.select(
         F.col("fk_per").alias("__pss_per"), F.col("fk_study").alias("__pss_study"),
         F.col("pk_patstudystat").alias("pkPatStudyStat_pps"),
@@ -108,9 +109,9 @@ def build_patient(src: SourceSet, run_ts=None) -> DataFrame:
                             fn.to_unsigned(F.rtrim("person_add_ethnicity"))))
     person = lookup(person, codes, ("__eth_key", "pk_codelst"), {"codelst_desc": "__eth_add"})
     person = lookup(person, sites, ("fk_site", "pk_site"), {"site_name": "__regsite"})
-    for fk, role in [("person_regby", "__regby"), ("creator", "__pcreate"),
-                     ("last_modified_by", "__pmod")]:
-        person = lookup(person, users, (fk, "pk_user"), _user_cols(role))
+    person = lookup_roles(person, users, "pk_user", {
+        fk: _user_cols(role) for fk, role in [
+            ("person_regby", "__regby"), ("creator", "__pcreate"), ("last_modified_by", "__pmod")]})
     disease = lookup(src["pat_perid"].filter(F.col("fk_codelst_idtype") == DISEASE_TYPE_ID),
                      src["ref_disease_site"], ("perid_id", "value"),
                      {"description": "diseaseType_pid_lu"})

@@ -107,6 +107,18 @@ def lookup_multi_role(spark, sf):
     return li.select("l_orderkey", "l_linenumber", "l_suppkey", "supplier_nation", "customer_nation")
 
 
+def lookup_roles_melted(spark, sf):
+    """Three roles of one dimension by one join: null keys, keys without a match, one key in two roles."""
+    li = _t(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        F.when(F.col("l_suppkey") % 5 != 0, F.col("l_suppkey")).cast("bigint").alias("first"),
+        F.when(F.col("l_linenumber") == 1, F.lit(-1)).otherwise(F.col("l_suppkey") % 40).cast("bigint").alias("second"),
+        F.col("l_suppkey").cast("bigint").alias("third"))
+    return op.lookup_roles_melted(li, _t(spark, sf, "supplier"), "s_suppkey", {
+        "first": {"s_name": "first_name", "s_nationkey": ["first_nation", "first_nation_again"]},
+        "second": {"s_name": "second_name"}, "third": {"s_name": "third_name", "s_suppkey": "third_key"}})
+
+
 def lookup_reference(spark, sf):
     o = _t(spark, sf, "orders")
     ref = (o.select(F.substring("o_orderpriority", 1, 1).alias("value"),
@@ -131,10 +143,25 @@ def self_join_text_key(spark, sf):
     return out.select("p_partkey", "parent_text", "parent_num", "parent_name").distinct()
 
 
-def left_join_expand(spark, sf):
+def _customer_orders(spark, sf):
     o = _t(spark, sf, "orders").withColumn("__k", F.when(F.col("o_custkey") % 3 != 0, F.col("o_custkey")))
-    return op.lookup(_t(spark, sf, "customer").select("c_custkey"), o, ("c_custkey", "__k"),
-                     {"o_orderkey": "o_orderkey"})
+    return _t(spark, sf, "customer").select("c_custkey"), o.select("__k", "o_orderkey")
+
+
+def left_join_expand(spark, sf):
+    customers, orders = _customer_orders(spark, sf)
+    return op.expand_left(customers, orders, "c_custkey", "__k", "o_orderkey").drop("__k")
+
+
+def left_join_hot_keys(spark, sf):
+    """Most lines on two customers, the rest spread; only those two are split, others and misses stay whole."""
+    lines = (_t(spark, sf, "lineitem").join(_t(spark, sf, "orders").select("o_orderkey", "o_custkey"),
+                                            F.col("l_orderkey") == F.col("o_orderkey"))
+             .select(F.when(F.col("l_orderkey") % 10 < 6, F.lit(7)).when(F.col("l_orderkey") % 10 == 6, F.lit(11))
+                     .when(F.col("l_orderkey") % 10 == 7, F.lit(None)).otherwise(F.col("o_custkey")).cast("bigint").alias("__k"),
+                     "l_orderkey", "l_linenumber"))
+    customers = _t(spark, sf, "customer").select("c_custkey", "c_name")
+    return op.expand_left(customers, lines, "c_custkey", "__k", "l_orderkey", least_rows=100).drop("__k")
 
 
 def left_join_composite(spark, sf):
@@ -525,8 +552,8 @@ def run_stamp(spark, sf):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in [
-        lookup_code, lookup_chained, lookup_master, lookup_multi_role, lookup_reference,
-        self_join_parent, self_join_text_key, left_join_expand, left_join_composite,
+        lookup_code, lookup_chained, lookup_master, lookup_multi_role, lookup_roles_melted, lookup_reference,
+        self_join_parent, self_join_text_key, left_join_expand, left_join_hot_keys, left_join_composite,
         left_join_filtered_right, left_join_on_predicate, eav_slots, eav_pivot, inner_chain,
         left_join_null_rejecting, left_join_isnull_kept, anti_not_exists, anti_left_isnull,
         assign_surrogate_key, join_distinct_list, left_join_distinct_dim,

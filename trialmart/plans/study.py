@@ -4,7 +4,8 @@ M1: one row per study x status record x (regulatory-coordinator team row) x
 (EAV slot fan-out).  Plan shape:
 
 * code lists, sites and users are narrow lookups, which Spark broadcasts while
-  their bytes allow it; the status side (status x site x site-type x users x
+  their bytes allow it (the user roles of a side share one join beyond that);
+  the status side (status x site x site-type x users x
   study-site) is assembled on the status table before it meets the study;
 * status records and team rows join by ``expand_left``, which deals the rows
   of a hot study over several tasks;
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trialmart import functions as fn
-from trialmart.operators import eav_slots, exclude_active, expand_left, lookup, string_list
+from trialmart.operators import eav_slots, exclude_active, expand_left, lookup, lookup_roles, string_list
 from trialmart.sources import SourceSet
 
 # Fixed code values of the source system (type ids of study identifiers and
@@ -67,9 +68,10 @@ def _status_side(src: SourceSet) -> DataFrame:
     stst = lookup(stst, sites, ("fk_site", "pk_site"),
                   {"pk_site": "__s_pk", "site_name": "__s_name", "fk_codelst_type": "__s_type"})
     stst = lookup(stst, codes, ("__s_type", "pk_codelst"), {"codelst_desc": "__stype_desc"})
-    for fk, role in [("fk_user_docby", "__docby"), ("studystat_assignedto", "__assigned"),
-                     ("creator", "__ststcreator"), ("last_modified_by", "__ststmodby")]:
-        stst = lookup(stst, users, (fk, "pk_user"), _user_cols(role))
+    stst = lookup_roles(stst, users, "pk_user", {
+        fk: _user_cols(role) for fk, role in [
+            ("fk_user_docby", "__docby"), ("studystat_assignedto", "__assigned"),
+            ("creator", "__ststcreator"), ("last_modified_by", "__ststmodby")]})
     stst = lookup(stst, codes, ("fk_codelst_revboard", "pk_codelst"), {"codelst_desc": "__revbrd_desc"})
     stst = lookup(stst, src["er_studysites"], [("fk_study", "fk_study"), ("__s_pk", "fk_site")],
                   {"pk_studysites": "__stsi_pk", "studysite_lsamplesize": "__stsi_lss",
@@ -136,10 +138,10 @@ def build_study(src: SourceSet, run_ts=None) -> DataFrame:
                     ("fk_codelst_tarea", "__tarea"), ("study_division", "__division"),
                     ("fk_codelst_blind", "__blind")]:
         st = lookup(st, codes, (fk, "pk_codelst"), {"codelst_desc": out})
-    for fk, role in [("fk_author", "__author"), ("study_coordinator", "__coord"),
-                     ("study_prinv", "__pi"), ("creator", "__creator"),
-                     ("last_modified_by", "__modby")]:
-        st = lookup(st, users, (fk, "pk_user"), _user_cols(role))
+    st = lookup_roles(st, users, "pk_user", {
+        fk: _user_cols(role) for fk, role in [
+            ("fk_author", "__author"), ("study_coordinator", "__coord"), ("study_prinv", "__pi"),
+            ("creator", "__creator"), ("last_modified_by", "__modby")]})
 
     # parent study and associated study (text key read the lenient way)
     numbers = src["er_study"].select("pk_study", "study_number")

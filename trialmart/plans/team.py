@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trialmart import functions as fn
-from trialmart.operators import exclude_active, filtered_count, lookup
+from trialmart.operators import exclude_active, filtered_count, lookup, lookup_roles
 from trialmart.sources import SourceSet
 
 # Fixed code values: primary team roles (principal investigator, primary
@@ -43,16 +43,14 @@ def build_study_team(src: SourceSet, run_ts=None) -> DataFrame:
                 {"pk_study": "__st_pk", "study_number": "__st_number",
                  "study_otherprinv": "__st_otherpi", "study_title": "__st_title",
                  "study_coordinator": "__st_coord", "study_prinv": "__st_pi"})
-    df = lookup(df, users, ("__st_coord", "pk_user"),
-                {"usr_firstname": "__coord_first", "usr_lastname": "__coord_last"})
-    df = lookup(df, users, ("__st_pi", "pk_user"),
-                {"usr_firstname": "__pi_first", "usr_lastname": "__pi_last"})
-    df = lookup(df, users, ("fk_user", "pk_user"),
-                {"pk_user": "__u_pk", "fk_siteid": "__u_site", "usr_firstname": "__u_first",
-                 "usr_lastname": "__u_last", "usr_stat": "__u_stat", "usr_type": "__u_type",
-                 "created_on": "__u_created", "creator": "__u_creator"})
-    df = lookup(df, users, ("__u_creator", "pk_user"),
-                {"usr_firstname": "__uc_first", "usr_lastname": "__uc_last"})
+    df = lookup_roles(df, users, "pk_user", {
+        "__st_coord": {"usr_firstname": "__coord_first", "usr_lastname": "__coord_last"},
+        "__st_pi": {"usr_firstname": "__pi_first", "usr_lastname": "__pi_last"},
+        "fk_user": {"pk_user": "__u_pk", "fk_siteid": "__u_site", "usr_firstname": "__u_first",
+                    "usr_lastname": "__u_last", "usr_stat": "__u_stat", "usr_type": "__u_type",
+                    "created_on": "__u_created", "creator": "__u_creator"},
+        "creator": {"usr_firstname": "__tc_first", "usr_lastname": "__tc_last"},
+        "last_modified_by": {"usr_firstname": "__tm_first", "usr_lastname": "__tm_last"}})
     df = lookup(df, sites, ("__u_site", "pk_site"),
                 {"pk_site": "__s_pk", "site_parent": "__s_parent", "site_name": "__s_name",
                  "fk_codelst_type": "__s_type"})
@@ -60,17 +58,14 @@ def build_study_team(src: SourceSet, run_ts=None) -> DataFrame:
                 {"studysite_lsamplesize": "__stsi_lss", "created_on": "__stsi_created",
                  "creator": "__stsi_creator", "last_modified_by": "__stsi_modby",
                  "last_modified_on": "__stsi_modified"})
-    df = lookup(df, users, ("__stsi_creator", "pk_user"),
-                {"usr_firstname": "__stsic_first", "usr_lastname": "__stsic_last"})
-    df = lookup(df, users, ("__stsi_modby", "pk_user"),
-                {"usr_firstname": "__stsim_first", "usr_lastname": "__stsim_last"})
+    # these keys come from the lookups above
+    df = lookup_roles(df, users, "pk_user", {
+        "__u_creator": {"usr_firstname": "__uc_first", "usr_lastname": "__uc_last"},
+        "__stsi_creator": {"usr_firstname": "__stsic_first", "usr_lastname": "__stsic_last"},
+        "__stsi_modby": {"usr_firstname": "__stsim_first", "usr_lastname": "__stsim_last"}})
     df = lookup(df, codes, ("__s_type", "pk_codelst"), {"codelst_desc": "__stype"})
     df = lookup(df, sites, ("__s_parent", "pk_site"), {"site_name": "__sparent_name"})
     df = lookup(df, codes, ("fk_codelst_tmrole", "pk_codelst"), {"codelst_desc": "__role"})
-    df = lookup(df, users, ("creator", "pk_user"),
-                {"usr_firstname": "__tc_first", "usr_lastname": "__tc_last"})
-    df = lookup(df, users, ("last_modified_by", "pk_user"),
-                {"usr_firstname": "__tm_first", "usr_lastname": "__tm_last"})
 
     return df.select(
         F.col("pk_studyteam").alias("pkStudyTeam_sttm"),
