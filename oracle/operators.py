@@ -43,6 +43,21 @@ LEFT JOIN orders o ON o.o_orderkey = l.l_orderkey
 LEFT JOIN customer c ON c.c_custkey = o.o_custkey
 LEFT JOIN nation sn ON sn.n_nationkey = s.s_nationkey
 LEFT JOIN nation cn ON cn.n_nationkey = c.c_nationkey""",
+    "sink_rerun": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders",
+    "quality_report": """
+WITH wide AS (
+  SELECT o_orderstatus, o_orderkey, l_orderkey FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey AND l_suppkey % 3 = 0),
+named AS (
+  SELECT o_orderstatus, c_name FROM orders LEFT JOIN customer ON c_custkey = o_custkey AND c_custkey % 2 = 0)
+SELECT 'order_lines' AS mart, '20240202060000' AS run_id, count(*) AS rows, count(DISTINCT o_orderkey) AS driving_rows,
+       1000 * count(*) // count(DISTINCT o_orderkey) AS fan_out_milli,
+       (SELECT count(*) FROM wide WHERE o_orderstatus = 'F') AS rows_before,
+       count(*) FILTER (l_orderkey IS NULL) AS null_lines, CAST(NULL AS BIGINT) AS null_names
+FROM wide WHERE o_orderstatus = 'O'
+UNION ALL
+SELECT 'order_customers', '20240202060000', count(*), count(*), 1000, (SELECT count(*) FROM named WHERE o_orderstatus <> 'F'),
+       CAST(NULL AS BIGINT), count(*) FILTER (c_name IS NULL)
+FROM named WHERE o_orderstatus <> 'O'""",
     "lookup_roles_melted": """
 WITH lines AS (
   SELECT l_orderkey, l_linenumber, CASE WHEN l_suppkey % 5 <> 0 THEN l_suppkey END AS k1,

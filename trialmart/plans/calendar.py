@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from trialmart import functions as fn
 from trialmart.operators import expand_left, latest_per_group, lookup, lookup_roles
+from trialmart.quality import watched
 from trialmart.sources import SourceSet
 
 # Fixed code values: calendar statuses Active and Reactivated.
@@ -68,8 +69,9 @@ def build_calendar(src: SourceSet, run_ts=None, since: str = CALENDAR_SINCE) ->
     # the scheduled events of a hot calendar are dealt over sub-keys; the
     # calendars (one row per status) are the side that is repeated
     calendars = ea.join(sps, F.col("__ea_id") == F.col("__sps_event"), "inner")
+    se1 = watched(se1)
     events = se1.join(ses, F.col("__se1_id") == F.col("__ses_event"), "inner")
-    scheduled = se1.select("__se1_session", "__se1_id")
+    scheduled = src["sch_events1"].select(F.col("session_id").alias("__se1_session"), F.col("event_id").alias("__se1_id"))
     df = expand_left(calendars, events, "__ea_id", "__se1_session", "__se1_id", keys=scheduled)
     df = df.filter(F.col("__se1_session").isNotNull())
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from trialmart import functions as fn
 from trialmart.operators import lookup, lookup_roles, string_list
+from trialmart.quality import watched
 from trialmart.sources import SourceSet
 
 # Fixed code values of the source system.
@@ -41,7 +42,7 @@ def build_patient(src: SourceSet, run_ts=None) -> DataFrame:
     """M3 ``dm_patient`` (93 columns)."""
     codes, users, sites = src["er_codelst"], src["er_user"], src["er_site"]
 
-    pp = src["er_patprot"].filter(F.col("patprot_stat") == ACTIVE_PROTOCOL_STAT)
+    pp = watched(src["er_patprot"].filter(F.col("patprot_stat") == ACTIVE_PROTOCOL_STAT))
     pp = lookup(pp, src["er_study"].select("pk_study", "study_number"), ("fk_study", "pk_study"),
                 {"pk_study": "__st_pk", "study_number": "__st_number"})
     pp = lookup(pp, sites, ("fk_site_enrolling", "pk_site"),

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from trialmart import functions as fn
 from trialmart import operators as op
 from trialmart import sinks
+from trialmart.contracts import conform, declared
+from trialmart.quality import Watch, watched
 from trialmart.session import checkpoint_dir
 from trialmart.sources.derived import for_spark
 
@@ -492,11 +494,17 @@ CONTRACT = {"o_orderkey": "pkOrder_o", "o_custkey": "pkCustomer_c", "o_orderstat
 
 
 def rename_to_contract(spark, sf):
-    o = _t(spark, sf, "orders").select(*CONTRACT)
-    out = o.withColumnsRenamed(CONTRACT)
-    if out.columns != list(CONTRACT.values()):
-        raise ValueError(f"contract mismatch: {out.columns}")
-    return out
+    """Renamed columns pass the contract in its order; a missing column and a wrong type are refused."""
+    contract = declared("status_o string, pkOrder_o bigint, pkCustomer_c bigint")
+    o = _t(spark, sf, "orders").select(*CONTRACT, "o_orderdate").withColumnsRenamed(CONTRACT)
+    o = o.withColumns({c: F.col(c).cast("bigint") for c in ("pkOrder_o", "pkCustomer_c")})
+    for broken in (o.drop("status_o"), o.withColumn("pkCustomer_c", F.col("pkCustomer_c").cast("string"))):
+        try:
+            conform(broken, contract, "orders")
+        except ValueError:
+            continue
+        raise AssertionError("a broken table passed its contract")
+    return conform(o, contract, "orders")
 
 
 def check_unique_key(spark, sf):
@@ -546,6 +554,39 @@ def sink_snapshot_history(spark, sf):
     return spark.read.parquet(f"{base}/history").select("o_orderkey", "o_orderstatus", "xDMrunDt", F.col("run_id").cast("string"))
 
 
+def sink_rerun(spark, sf):
+    """A rerun of a published run that dies midway: readers keep the version they had."""
+    base = f"{checkpoint_dir(spark)}/probe-{uuid.uuid4()}"
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    sinks.publish(o, base, "orders", "20240201060000")
+    last = o.agg(F.max("o_orderkey")).scalar()
+    dying = o.withColumn("o_orderstatus", F.when(F.col("o_orderkey") == last, F.raise_error(F.lit("lost"))).otherwise(F.lit("?")))
+    try:
+        sinks.publish(dying, base, "orders", "20240201060000")
+    except Exception as error:
+        if "lost" not in str(error):
+            raise
+    return sinks.read_current(spark, base, "orders")
+
+
+def quality_report(spark, sf):
+    """Two nights of two marts; the figures are those that the writes observed."""
+    base = f"{checkpoint_dir(spark)}/probe-{uuid.uuid4()}"
+    orders, lines = _t(spark, sf, "orders"), _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
+    for night, status in (("20240201060000", "F"), ("20240202060000", "O")):
+        with Watch() as watch:
+            open_orders = watched(orders.where(F.col("o_orderstatus") == status).select("o_orderkey", "o_custkey"))
+            wide = open_orders.join(lines.where("l_suppkey % 3 = 0"), F.col("o_orderkey") == F.col("l_orderkey"), "left")
+            sinks.publish(wide, base, "order_lines", night, keys=["o_orderkey", "l_orderkey"], watch=watch)
+        with Watch() as watch:
+            named = op.lookup(watched(orders.where(F.col("o_orderstatus") != status).select("o_orderkey", "o_custkey")),
+                              _t(spark, sf, "customer"), ("o_custkey", "c_custkey"), {"c_name": "c_name"}, where=F.col("c_custkey") % 2 == 0)
+            sinks.publish(named, base, "order_customers", night, keys=["c_name"], watch=watch)
+    report = sinks.quality_report(spark, base, "20240202060000", ["order_lines", "order_customers"])
+    return report.select("mart", "run_id", "rows", "driving_rows", "fan_out_milli", "rows_before",
+                         F.col("null_keys")["l_orderkey"].alias("null_lines"), F.col("null_keys")["c_name"].alias("null_names"))
+
+
 def run_stamp(spark, sf):
     return _t(spark, sf, "region").select("r_regionkey", fn.run_stamp(RUN_TS).alias("xDMrunDt"))
 
@@ -565,6 +606,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         fn_last_first, fn_name_collapse, fn_name_upper, fn_cycle_label,
         case_flag, case_label, case_code_map, case_code_map_null, case_category, case_fallback,
         project_alias, project_deidentified, rename_to_contract, check_unique_key, run_stamp,
-        lookup_collated, distinct_collated, sink_full_refresh, sink_snapshot_history,
+        lookup_collated, distinct_collated, sink_full_refresh, sink_snapshot_history, sink_rerun, quality_report,
     ]
 }

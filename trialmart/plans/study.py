@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from trialmart import functions as fn
 from trialmart.operators import eav_slots, exclude_active, expand_left, lookup, lookup_roles, string_list
+from trialmart.quality import watched
 from trialmart.sources import SourceSet
 
 # Fixed code values of the source system (type ids of study identifiers and
@@ -130,7 +131,7 @@ def _slot(type_id: int, out: str) -> dict:
 def build_study(src: SourceSet, run_ts=None) -> DataFrame:
     """M1 ``dm_study`` (91 columns)."""
     codes, users = src["er_codelst"], src["er_user"]
-    st = src["er_study"]
+    st = watched(src["er_study"])
 
     for fk, out in [("fk_codelst_sponsor", "__sponsor"), ("fk_codelst_phase", "__phase"),
                     ("fk_codelst_restype", "__restype"), ("fk_codelst_scope", "__scope"),

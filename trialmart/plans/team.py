@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from trialmart import functions as fn
 from trialmart.operators import exclude_active, filtered_count, lookup, lookup_roles
+from trialmart.quality import watched
 from trialmart.sources import SourceSet
 
 # Fixed code values: primary team roles (principal investigator, primary
@@ -37,7 +38,7 @@ def build_study_team(src: SourceSet, run_ts=None) -> DataFrame:
     users, sites, codes = src["er_user"], src["er_site"], src["er_codelst"]
     team = src["er_studyteam"]
 
-    df = exclude_active(team, src["ref_study_exclusions"], "fk_study")
+    df = watched(exclude_active(team, src["ref_study_exclusions"], "fk_study"))
     df = df.join(primary_role_counts(team), F.col("fk_study") == F.col("__cnt_study"), "left")
     df = lookup(df, src["er_study"], ("fk_study", "pk_study"),
                 {"pk_study": "__st_pk", "study_number": "__st_number",

@@ -21,6 +21,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.scheduler.mode": "FAIR",  # marts written at the same time share the executors
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

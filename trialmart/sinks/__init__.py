@@ -1,147 +1,31 @@
-"""Publishing marts: versioned full refresh, idempotent history, nightly run.
+"""Publishing marts: atomic versions, idempotent history, nightly run, quality report.
 
-* ``publish`` (SNK-01/05): a full refresh writes a *new* version folder
-  ``<base>/<mart>/run_id=<id>`` and then repoints the catalog table to it
-  (``ALTER TABLE ... SET LOCATION`` is a metadata switch), so readers never
-  see a truncated mart; columns are checked and written by name, in contract
-  order.
+* ``publish`` (SNK-01/05): a full refresh writes a new attempt folder; a manifest
+  and then the pointer (and the catalog table) are switched when all its files
+  are there, so readers never see a part of a mart, also not on a rerun of a
+  published run.  Columns are checked and written by name, in contract order.
 * ``archive_snapshot`` (SNK-02): writes a worklist snapshot into its run's
   partition of the history, replacing only that partition, so a rerun (also
   of a half-written run) gives the same history and no row depends on its
   stamp.
-* ``run_nightly``: builds M1-M10 in dependency order, publishing each mart
-  and re-reading it from storage before dependants use it.  That is how the
-  source system materialises its marts, it keeps each plan small, and it
-  cuts lineage: a lost executor only recomputes the mart being written.  The
-  reference table of M10 starts from its last published version, so a lab
+* ``run_nightly``: builds M1-M10 in dependency order, independent ones at the
+  same time, publishing each mart and re-reading it from storage before
+  dependants use it.  That is how the source system materialises its marts, it
+  keeps each plan small, and it cuts lineage: a lost executor only recomputes
+  the mart being written.  A failed night resumes at its first unfinished mart.
+  The reference table of M10 starts from its last published version, so a lab
   name keeps its key from night to night.
+* ``quality_report``: rows, fan-out and null keys, observed by the writes.
 
 ``base`` is a folder that driver and executors share; versions are listed from
 the file system.
 """
 
-from __future__ import annotations
+from trialmart.sinks.nightly import (KEYS, PARENTS, RUN_ID_FORMAT, TABLES, NightlyError, archive_snapshot, quality_report,
+                                     run_id_of, run_nightly)
+from trialmart.sinks.versions import current, leftovers, manifest, publish, read_current, switch, versions
 
-import datetime as _dt
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-
-from trialmart.contracts import conform
-from trialmart.plans import (build_accruals, build_calendar, build_enrollments, build_patient,
-                             build_statuses, build_study, build_study_current, build_study_team)
-from trialmart.plans.contracts import MART_SCHEMAS
-from trialmart.plans.worklist import (build_worklist, current_calendar_names, emr_activity,
-                                      industrial_patients, register_new_codes)
-from trialmart.sources import SourceSet
-
-RUN_ID_FORMAT = "%Y%m%d%H%M%S"
-
-#: Names under which consumers read the marts (fixed values).
-TABLES = {
-    "study": "dm_study", "study_current": "dm_study_current", "patient": "dm_patient",
-    "calendar": "dm_calendar", "study_team": "dm_study_team", "accruals": "dm_accruals",
-    "enrollments": "dm_patient_enrollments", "statuses": "dm_patient_statuses",
-    "lab_refs": "ref_labs_cpts", "worklist": "dm_PharmaPats_YDA", "worklist_history": "dm_PharmaPats_H",
-}
-
-
-def run_id_of(run_ts: _dt.datetime | str) -> str:
-    if isinstance(run_ts, str):
-        run_ts = _dt.datetime.fromisoformat(run_ts)
-    return run_ts.strftime(RUN_ID_FORMAT)
-
-
-def _listed(spark: SparkSession, folder: str) -> list[str]:
-    """Names of the entries of a folder; none if it does not exist.  Other errors are raised."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
-
-
-def versions(spark: SparkSession, base: str, mart: str) -> list[str]:
-    """Run ids of the completely written versions of a mart, in order."""
-    folders = [n for n in _listed(spark, f"{base}/{mart}") if n.startswith("run_id=")]
-    return sorted(n.removeprefix("run_id=") for n in folders if "_SUCCESS" in _listed(spark, f"{base}/{mart}/{n}"))
-
-
-def _point(spark: SparkSession, table: str, path: str) -> None:
-    if spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-        spark.catalog.refreshTable(table)
-    else:
-        spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
-
-
-def publish(df: DataFrame, base: str, mart: str, run_id: str, table: str | None = None,
-            contract: StructType | None = None) -> str:
-    """Write ``df`` as a new version of ``mart``, checked against ``contract``, and repoint ``table`` to it."""
-    if contract is not None:
-        df = conform(df, contract, mart)
-    path = f"{base}/{mart}/run_id={run_id}"
-    df.write.mode("overwrite").parquet(path)
-    if table:
-        _point(df.sparkSession, table, path)
-    return path
-
-
-def archive_snapshot(spark: SparkSession, snapshot_path: str, history_path: str, run_id: str,
-                     table: str | None = None) -> None:
-    """Put all rows of the snapshot into partition ``run_id`` of the history, replacing that partition only."""
-    (spark.read.parquet(snapshot_path).drop("run_id").withColumn("run_id", F.lit(run_id))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(history_path))
-    if table:
-        if not spark.catalog.tableExists(table):
-            spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{history_path}'")
-        spark.sql(f"MSCK REPAIR TABLE {table}")
-        spark.catalog.refreshTable(table)
-
-
-def run_nightly(spark: SparkSession, src: SourceSet, base: str,
-                run_ts: _dt.datetime | str | None = None, tables: bool = False,
-                lab_code_mode: str = "anti", timer=None) -> dict[str, str]:
-    """Build and publish all marts under ``base``; returns ``{mart: path}``.
-
-    ``lab_code_mode`` is M10's rule: ``anti`` adds each unknown lab name once;
-    ``faithful`` re-adds names whose mapping has no status, every night.
-    ``timer(name, fn)`` may wrap each step (the bench uses it).
-    """
-    if run_ts is None:
-        run_ts = _dt.datetime.now().replace(microsecond=0)
-    rid = run_id_of(run_ts)
-    timer = timer or (lambda name, fn: fn())
-    paths: dict[str, str] = {}
-
-    def step(name: str, build) -> DataFrame:
-        paths[name] = timer(name, lambda: publish(build(), base, name, rid, TABLES[name] if tables else None,
-                                                  MART_SCHEMAS[name]))
-        return spark.read.parquet(paths[name])
-
-    def earlier(name: str) -> list[str]:
-        return [v for v in versions(spark, base, name) if v < rid]
-
-    src.check_keys()
-    study = step("study", lambda: build_study(src, run_ts))
-    current = step("study_current", lambda: build_study_current(study, src, run_ts))
-    patient = step("patient", lambda: build_patient(src, run_ts))
-    calendar = step("calendar", lambda: build_calendar(src, run_ts))
-    step("study_team", lambda: build_study_team(src, run_ts))
-    step("accruals", lambda: build_accruals(current, patient, run_ts))
-    step("enrollments", lambda: build_enrollments(current, patient, run_ts))
-    step("statuses", lambda: build_statuses(current, patient, run_ts))
-    known = earlier("lab_refs")
-    refs_before = spark.read.parquet(f"{base}/lab_refs/run_id={known[-1]}") if known else src["ref_labs_cpts"]
-    refs = step("lab_refs", lambda: register_new_codes(src["mq_labs_90days"], refs_before, run_ts, lab_code_mode))
-
-    def worklist() -> DataFrame:
-        patients = industrial_patients(current, patient)
-        activity = emr_activity(src["mq_appointments"], src["mq_chemos"], src["mq_labs"], patients)
-        return build_worklist(activity, patients, refs, current_calendar_names(calendar), run_ts)
-
-    # archive the previous snapshot before the new one replaces it
-    for previous in earlier("worklist")[-1:]:
-        archive_snapshot(spark, f"{base}/worklist/run_id={previous}", f"{base}/worklist_history", previous,
-                         TABLES["worklist_history"] if tables else None)
-    step("worklist", worklist)
-    return paths
+__all__ = [
+    "KEYS", "PARENTS", "RUN_ID_FORMAT", "TABLES", "NightlyError", "archive_snapshot", "current", "leftovers", "manifest",
+    "publish", "quality_report", "read_current", "run_id_of", "run_nightly", "switch", "versions",
+]
