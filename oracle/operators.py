@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from oracle.marts import CL, DK, FL, FN, RUN, U
-from trialmart.plans.probes import INPUTS
+from trialmart.plans.probes import COLLATED, INPUTS
 from trialmart.sources.derived import for_duckdb
 
 
@@ -18,6 +18,40 @@ def _w(*names: str) -> str:
     return "WITH " + ", ".join(f"{n} AS ({for_duckdb(INPUTS[n])})" for n in names) + "\n"
 
 
+def _collated(*names: str) -> str:
+    return "WITH " + ", ".join(f"{n} AS ({for_duckdb(COLLATED[n])})" for n in names)
+
+
+def _k(text: str) -> str:
+    """What the source's collation compares: no case, no accents, no trailing blanks."""
+    return f"lower(strip_accents(rtrim({text})))"
+
+
+def _classes(relation: str, text: str, other: str = "") -> str:
+    """One row per class of equal text columns, the first in binary order."""
+    columns = [*text.split(), *other.split()]
+    keys = ", ".join([*(_k(c) for c in text.split()), *other.split()])
+    order = ", ".join(f"{c} NULLS FIRST" for c in columns)
+    return (f"SELECT {', '.join(columns)} FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {order}) AS place_"
+            f" FROM ({relation})) WHERE place_ = 1")
+
+
+def _new_codes(known: str, distinct: str) -> str:
+    return _collated("col_labs", "col_refs") + f""",
+fresh AS (SELECT lab_name, lab_code FROM ({distinct}) f
+          WHERE NOT EXISTS (SELECT 1 FROM col_refs WHERE {known}))
+SELECT lc_idx, labdesc, labname_mq, cpt, map_status FROM col_refs
+UNION ALL
+SELECT (SELECT max(lc_idx) FROM col_refs) + row_number() OVER (ORDER BY lab_name, lab_code), lab_name, lab_code, NULL, 'Unknown' FROM fresh"""
+
+
+_NAMED_LABS = "SELECT lab_name, lab_code FROM col_labs WHERE lab_name IS NOT NULL"
+_ACTIVITY = """
+SELECT patient_name, mrn, app_dttm, activity_desc AS activity, provider_initials AS provider, location, '' AS drug, '' AS lab, '' AS code,
+       '' AS notes, '' AS cycle, 'Appt' AS source FROM col_appointments
+UNION ALL SELECT patient_name, mrn, app_dttm, '', provider, '', drug_name, '', '', '', 'C1 / D2', 'Chemo' FROM col_chemos
+UNION ALL SELECT patient_name, mrn, app_dttm, '', provider, '', '', lab_name, lab_code, condition_notes, '', 'Labs' FROM col_labs"""
+
 CYCLE = ("trim(CASE WHEN cyc = 0 THEN '' ELSE 'C' || CAST(cyc AS VARCHAR) || ' / ' END"
          " || CASE WHEN day = 0 THEN '' ELSE 'D' || CAST(day AS VARCHAR) END"
          " || CASE WHEN dly = 0 THEN '' ELSE ' Delayed' END)")
@@ -58,6 +92,23 @@ UNION ALL
 SELECT 'order_customers', '20240202060000', count(*), count(*), 1000, (SELECT count(*) FROM named WHERE o_orderstatus <> 'F'),
        CAST(NULL AS BIGINT), count(*) FILTER (c_name IS NULL)
 FROM named WHERE o_orderstatus <> 'O'""",
+    "register_new_codes_anti": _new_codes("labdesc = lab_name", f"SELECT DISTINCT * FROM ({_NAMED_LABS})"),
+    "register_new_codes_collated": _new_codes(f"{_k('labdesc')} = {_k('lab_name')}", _classes(_NAMED_LABS, "lab_name lab_code")),
+    "worklist_collated": _collated(*COLLATED) + f""",
+trials AS ({_classes(f"SELECT * FROM col_studies WHERE {_k('researchType_st_lu')} = 'industrial'", "studyNumber_st title_st", "pkStudy_st")}),
+people AS (SELECT studyNumber_st, title_st, patStudyId_pp, personCode_p, upper(patLast_p || ', Zoe ') AS patName
+           FROM col_patients JOIN trials USING (pkStudy_st) WHERE regexp_matches(personCode_p, '^-?[0-9]+$')),
+pats AS ({_classes("people", "personCode_p studyNumber_st title_st patStudyId_pp patName")}),
+activity AS ({_classes(f"SELECT * FROM ({_ACTIVITY}) WHERE {_k('mrn')} IN (SELECT {_k('personCode_p')} FROM pats)",
+                       "patient_name mrn activity provider location drug lab code notes cycle source", "app_dttm")}),
+mapping AS ({_classes(f"SELECT * FROM col_refs WHERE {_k('labdesc')} <> ''", "labdesc cpt cpt_additional labname_tricore map_status")}),
+schedules AS ({_classes(f"SELECT * FROM col_calendar WHERE {_k('statusDesc_se1')} = 'current schedule'", "personCode_p scheduleName_ea")})
+SELECT studyNumber_st, title_st AS studyTitle_st, patStudyId_pp, patName AS patName_p, mrn AS MRN_mq, app_dttm AS ApptDate_mq,
+       activity AS Activity_mq, drug AS DrugName_mq, lab AS LabName_mq, code AS LabCode_mq, cycle AS CycleInfo_mq, source AS Source_mq,
+       cpt, map_status, scheduleName_ea
+FROM activity JOIN pats ON {_k('mrn')} = {_k('pats.personCode_p')}
+LEFT JOIN schedules ON {_k('schedules.personCode_p')} = {_k('mrn')}
+LEFT JOIN mapping ON {_k('labdesc')} = {_k('lab')}""",
     "lookup_roles_melted": """
 WITH lines AS (
   SELECT l_orderkey, l_linenumber, CASE WHEN l_suppkey % 5 <> 0 THEN l_suppkey END AS k1,

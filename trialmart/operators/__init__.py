@@ -24,12 +24,14 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trialmart.operators.collation import ACCENTLESS, CASELESS, collated, distinct_under, same
 from trialmart.operators.roles import lookup_roles, lookup_roles_melted
 from trialmart.operators.skew import expand_left, frequent_keys, heavy_keys
 from trialmart.session import checkpoint_dir
 
 __all__ = [
-    "lookup", "lookup_roles", "lookup_roles_melted", "folded", "distinct_collated", "expand_left", "frequent_keys",
+    "ACCENTLESS", "CASELESS", "collated", "same", "distinct_under", "lookup", "lookup_roles", "lookup_roles_melted",
+    "distinct_collated", "expand_left", "frequent_keys",
     "heavy_keys", "string_list", "filtered_count", "latest_per_group", "exclude_active", "eav_slots", "eav_pivot",
     "union_tagged", "assign_keys", "check_unique",
 ]
@@ -50,7 +52,7 @@ def _as_pairs(on) -> list[tuple[str, str]]:
 
 def lookup(df: DataFrame, dim: DataFrame, on, columns: Mapping[str, str | Sequence[str]],
            where: Column | None = None, extra: Column | None = None,
-           collate: bool = False) -> DataFrame:
+           collation: str | None = None) -> DataFrame:
     """Left join ``df`` to ``dim`` and bring back renamed columns (JOI-01/02/03/07/08).
 
     ``on``      ``(fk, pk)`` or a list of such pairs (composite key).
@@ -60,8 +62,8 @@ def lookup(df: DataFrame, dim: DataFrame, on, columns: Mapping[str, str | Sequen
                 right-side constant predicate in ON; left rows are kept.
     ``extra``   additional ON predicate over left columns only (kept in the
                 condition, it never drops left rows).
-    ``collate`` compare the keys as text without case and trailing blanks
-                (``folded``); the default comparison is binary.
+    ``collation`` compare the keys as text under a collation (``CASELESS``,
+                ``ACCENTLESS``); the default comparison is binary.
     The dimension is projected to key + requested columns first, so each
     role joins a narrow table; repeated roles reuse one broadcast exchange.
     """
@@ -81,28 +83,16 @@ def lookup(df: DataFrame, dim: DataFrame, on, columns: Mapping[str, str | Sequen
     right = dim.select(*sel)
     cond = None
     for (fk, _), k in zip(pairs, keys):
-        term = folded(F.col(fk)) == folded(F.col(k)) if collate else F.col(fk) == F.col(k)
+        term = same(fk, k, collation)
         cond = term if cond is None else cond & term
     if extra is not None:
         cond = cond & extra
     return df.join(right, cond, "left").drop(*keys)
 
 
-def folded(text: Column) -> Column:
-    """Text as a case-insensitive, blank-padding collation compares it: lower case, no trailing blanks."""
-    return F.rtrim(F.lower(text))
-
-
-def distinct_collated(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Distinct rows of ``columns`` with text compared by ``folded``; the smallest spelling stands for its class.
-
-    Rows are grouped by the folded values (a map-side combined ``min``), so a
-    frequent value is reduced before the shuffle.
-    """
-    text = {f.name for f in df.schema if f.dataType.simpleString() == "string"}
-    keys = [(folded(F.col(c)) if c in text else F.col(c)).alias(f"__g{i}") for i, c in enumerate(columns)]
-    grouped = df.groupBy(*keys).agg(F.min(F.struct(*columns)).alias("__row"))
-    return grouped.select(*[F.col("__row").getField(c).alias(c) for c in columns])
+def distinct_collated(df: DataFrame, columns: Sequence[str], collation: str = CASELESS) -> DataFrame:
+    """Distinct rows of ``columns`` with text compared under ``collation``; the smallest spelling stands for its class."""
+    return distinct_under(df, collation, columns)
 
 
 def string_list(df: DataFrame, key: str, value: str, sep: str = " | ",
@@ -207,13 +197,13 @@ def eav_pivot(eav: DataFrame, fk: str, type_col: str, value_col: str,
     return wide.select(fk, *[F.col(str(t)).alias(name) for t, name in types.items()])
 
 
-def union_tagged(branches: Iterable[DataFrame], distinct: bool = True) -> DataFrame:
-    """Positional UNION of branches (names from the first); DISTINCT like SQL UNION (SET-01)."""
+def union_tagged(branches: Iterable[DataFrame], distinct: bool = True, collation: str | None = None) -> DataFrame:
+    """Positional UNION of branches (names from the first); DISTINCT like SQL UNION (SET-01), under ``collation``."""
     it = iter(branches)
     out = next(it)
     for b in it:
         out = out.union(b)
-    return out.distinct() if distinct else out
+    return distinct_under(out, collation) if distinct else out
 
 
 def assign_keys(new_rows: DataFrame, existing: DataFrame, key_col: str,

@@ -34,12 +34,13 @@ class MartBuild:
     """All marts over one ``SourceSet`` with one run stamp."""
 
     def __init__(self, src: SourceSet, run_ts: _dt.datetime | str | None = None,
-                 lab_code_mode: str = "faithful"):
+                 lab_code_mode: str = "faithful", collation: str | None = None):
         if run_ts is None:
             run_ts = _dt.datetime.now().replace(microsecond=0)
         self.src = src
         self.run_ts = run_ts
         self.lab_code_mode = lab_code_mode
+        self.collation = collation
 
     @cached_property
     def study(self) -> DataFrame:
@@ -76,15 +77,15 @@ class MartBuild:
     @cached_property
     def lab_refs(self) -> DataFrame:
         return register_new_codes(self.src["mq_labs_90days"], self.src["ref_labs_cpts"],
-                                  self.run_ts, self.lab_code_mode)
+                                  self.run_ts, self.lab_code_mode, self.collation)
 
     @cached_property
     def worklist(self) -> DataFrame:
-        patients = industrial_patients(self.study_current, self.patient)
+        patients = industrial_patients(self.study_current, self.patient, self.collation)
         activity = emr_activity(self.src["mq_appointments"], self.src["mq_chemos"],
-                                self.src["mq_labs"], patients)
+                                self.src["mq_labs"], patients, self.collation)
         return build_worklist(activity, patients, self.lab_refs,
-                              current_calendar_names(self.calendar), self.run_ts)
+                              current_calendar_names(self.calendar, self.collation), self.run_ts, self.collation)
 
     MARTS = ["study", "study_current", "patient", "calendar", "study_team", "accruals",
              "enrollments", "statuses", "lab_refs", "worklist"]

@@ -20,6 +20,8 @@ from trialmart import sinks
 from trialmart.contracts import conform, declared
 from trialmart.quality import Watch, watched
 from trialmart.session import checkpoint_dir
+from trialmart.plans.worklist import build_worklist, current_calendar_names, emr_activity, industrial_patients
+from trialmart.plans.worklist import register_new_codes as register_codes
 from trialmart.sources.derived import for_spark
 
 RUN_TS = "2024-02-01 06:00:00"
@@ -62,6 +64,60 @@ FROM {orders}""",
 }
 
 
+# A word in four spellings that are one under the source's collation.
+_SPELL = ("CASE {k} % 4 WHEN 0 THEN {w} WHEN 1 THEN lower({w}) WHEN 2 THEN replace({w}, 'E', 'É') "
+          "ELSE lower(replace({w}, 'A', 'à')) || '  ' END")
+
+
+def _spelled(word: str, key: str) -> str:
+    return _SPELL.format(w=word, k=key)
+
+
+# Inputs of the worklist with spelled keys and constants, shared with the oracle (common SQL subset).
+COLLATED = {
+    "col_refs": f"""
+SELECT CAST(n_nationkey * 10 AS BIGINT) AS lc_idx, CASE WHEN n_nationkey = 3 THEN CAST(NULL AS STRING) WHEN n_nationkey = 4 THEN '  '
+       ELSE {_spelled('n_name', 'n_nationkey')} END AS labdesc, 'LC' || CAST(n_nationkey AS STRING) AS labname_mq,
+  'CPT' || CAST(n_nationkey % 5 AS STRING) AS cpt, '' AS cpt_additional, '' AS labname_tricore,
+  CASE WHEN n_nationkey % 2 = 0 THEN 'Mapped' ELSE 'mapped ' END AS map_status, '' AS comments,
+  TIMESTAMP '2024-01-01 00:00:00' AS createDtTm, CAST(NULL AS TIMESTAMP) AS modDtTm
+FROM {{nation}} WHERE n_nationkey % 3 <> 2""",
+    "col_studies": f"""
+SELECT CAST(s_suppkey AS BIGINT) AS pkStudy_st, 'ST-' || CAST(s_suppkey AS STRING) AS studyNumber_st,
+  {_spelled("'TEA STUDY'", 's_suppkey')} AS title_st,
+  CASE s_suppkey % 4 WHEN 0 THEN 'Industrial' WHEN 1 THEN 'industrial ' WHEN 2 THEN 'INDUSTRIÁL' ELSE 'Other' END AS researchType_st_lu
+FROM {{supplier}}""",
+    "col_patients": """
+SELECT CAST(c_custkey % 9 AS BIGINT) AS pkStudy_st, 'P' || CAST(c_custkey AS STRING) AS patStudyId_pp,
+  CAST(c_custkey AS STRING) || CASE WHEN c_custkey % 3 = 0 THEN ' ' ELSE '' END AS personCode_p, 'Y' AS statusIsCurrentFlag_pps,
+  TIMESTAMP '2023-05-05 00:00:00' AS enroll_Dt_pp, CAST(NULL AS TIMESTAMP) AS discontinueDt_pp,
+  c_mktsegment AS patLast_p, 'Zoe' AS patFirst_p, '' AS patMiddle_p
+FROM {customer}""",
+    "col_calendar": """
+SELECT CAST(c_custkey AS STRING) || CASE WHEN c_custkey % 2 = 0 THEN '  ' ELSE '' END AS personCode_p,
+  CASE c_custkey % 4 WHEN 0 THEN 'Current Schedule' WHEN 1 THEN 'current schedule ' WHEN 2 THEN 'Currént Schedule' ELSE 'Past Schedule' END
+    AS statusDesc_se1,
+  CASE WHEN c_custkey % 5 = 0 THEN 'visit' ELSE 'Visit ' END AS scheduleName_ea
+FROM {customer}""",
+    "col_appointments": f"""
+SELECT 'Patient ' || CAST(o_custkey AS STRING) AS patient_name, CAST(o_custkey AS STRING) || CASE WHEN o_orderkey % 2 = 0 THEN ' ' ELSE '' END AS mrn,
+  TIMESTAMP '2024-01-31 08:00:00' AS app_dttm, {_spelled("'EARLY VISIT'", 'o_orderkey')} AS activity_desc,
+  'AB' AS provider_initials, o_orderstatus AS location
+FROM {{orders}}""",
+    "col_chemos": f"""
+SELECT 'Patient ' || CAST(o_custkey AS STRING) AS patient_name, CAST(o_custkey AS STRING) AS mrn,
+  TIMESTAMP '2024-01-31 09:00:00' AS app_dttm, 'AB' AS provider, {_spelled("'TAXANE'", 'o_orderkey')} AS drug_name,
+  CAST(1 AS BIGINT) AS cycle_number, CAST(2 AS BIGINT) AS cycle_day, CAST(0 AS BIGINT) AS dlyd
+FROM {{orders}} WHERE o_orderkey % 3 = 0""",
+    "col_labs": f"""
+SELECT 'Patient ' || CAST(o_custkey AS STRING) AS patient_name, CAST(o_custkey AS STRING) AS mrn,
+  TIMESTAMP '2024-01-31 10:00:00' AS app_dttm, 'AB' AS provider,
+  CASE WHEN l_orderkey % 50 = 0 THEN CAST(NULL AS STRING) WHEN l_orderkey % 50 = 1 THEN ' ' ELSE {_spelled('n_name', 'l_orderkey')} END AS lab_name,
+  'LC' || CAST(n_nationkey AS STRING) AS lab_code, 'fasting' AS condition_notes
+FROM {{lineitem}} JOIN {{orders}} ON o_orderkey = l_orderkey JOIN {{nation}} ON n_nationkey = l_suppkey % 25""",
+}
+
+
 def _input(spark: SparkSession, sf: str, name: str) -> DataFrame:
     tables = {t: spark.read.parquet(f"{sf}/{t}.parquet") for t in ("customer", "part", "orders")}
     return spark.sql(for_spark(INPUTS[name]), **tables)
@@ -523,7 +579,7 @@ def _mixed_case(spark, sf):
 
 def lookup_collated(spark, sf):
     out = op.lookup(_mixed_case(spark, sf), _t(spark, sf, "nation"), ("spelled", "n_name"),
-                    {"n_nationkey": "nation_key"}, collate=True)
+                    {"n_nationkey": "nation_key"}, collation=op.CASELESS)
     return out.select("c_custkey", "spelled", "nation_key")
 
 
@@ -531,6 +587,37 @@ def distinct_collated(spark, sf):
     return op.distinct_collated(_mixed_case(spark, sf), ["spelled", "c_mktsegment"])
 
 
+def _collation_inputs(spark, sf):
+    names = ("customer", "nation", "orders", "lineitem", "supplier")
+    tables = {t: spark.read.parquet(f"{sf}/{t}.parquet") for t in names}
+    return {name: spark.sql(for_spark(sql), **tables) for name, sql in COLLATED.items()}
+
+
+def register_new_codes_collated(spark, sf):
+    """Lab names in other case, with accents or trailing blanks are the known ones; new spellings are added once."""
+    inputs = _collation_inputs(spark, sf)
+    out = register_codes(inputs["col_labs"], inputs["col_refs"], RUN_TS, "anti", op.ACCENTLESS)
+    return out.select("lc_idx", "labdesc", "labname_mq", "cpt", "map_status")
+
+
+def register_new_codes_anti(spark, sf):
+    """The nightly default of M10: names that the reference lacks, binary comparison, NULL names left out."""
+    inputs = _collation_inputs(spark, sf)
+    out = register_codes(inputs["col_labs"], inputs["col_refs"], RUN_TS, "anti")
+    return out.select("lc_idx", "labdesc", "labname_mq", "cpt", "map_status")
+
+
+def worklist_collated(spark, sf):
+    """M9 under a collation: joins, constants, UNION and DISTINCT ignore case, accents and trailing blanks."""
+    i = _collation_inputs(spark, sf)
+    patients = industrial_patients(i["col_studies"], i["col_patients"], op.ACCENTLESS)
+    activity = emr_activity(i["col_appointments"], i["col_chemos"], i["col_labs"], patients, op.ACCENTLESS)
+    names = current_calendar_names(i["col_calendar"], op.ACCENTLESS)
+    out = build_worklist(activity, patients, i["col_refs"], names, RUN_TS, op.ACCENTLESS)
+    return out.select("studyNumber_st", "studyTitle_st", "patStudyId_pp", "patName_p", "MRN_mq", "ApptDate_mq", "Activity_mq",
+                      "DrugName_mq", "LabName_mq", "LabCode_mq", "CycleInfo_mq", "Source_mq", "cpt", "map_status", "scheduleName_ea")
+
+
 # --- sinks ---------------------------------------------------------------------------
 
 def sink_full_refresh(spark, sf):
@@ -606,6 +693,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         fn_last_first, fn_name_collapse, fn_name_upper, fn_cycle_label,
         case_flag, case_label, case_code_map, case_code_map_null, case_category, case_fallback,
         project_alias, project_deidentified, rename_to_contract, check_unique_key, run_stamp,
-        lookup_collated, distinct_collated, sink_full_refresh, sink_snapshot_history, sink_rerun, quality_report,
+        lookup_collated, distinct_collated, worklist_collated, register_new_codes_collated, register_new_codes_anti, sink_full_refresh, sink_snapshot_history, sink_rerun, quality_report,
     ]
 }

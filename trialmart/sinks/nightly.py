@@ -90,11 +90,13 @@ def _in_order(names: list[str], work: Callable[[str], None], parallel: int) -> t
 
 def run_nightly(spark: SparkSession, src: SourceSet, base: str, run_ts: _dt.datetime | str | None = None,
                 tables: bool = False, lab_code_mode: str = "anti", timer=None, parallel: int = 4,
-                resume: bool = False) -> dict[str, str]:
+                resume: bool = False, collation: str | None = None) -> dict[str, str]:
     """Build and publish all marts under ``base``; returns ``{mart: path}``.
 
     ``lab_code_mode`` is M10's rule: ``anti`` adds each unknown lab name once;
     ``faithful`` re-adds names whose mapping has no status, every night.
+    ``collation`` is how M9 and M10 compare text (``operators.ACCENTLESS`` for a
+    source system that ignores case, accents and trailing blanks).
     ``timer(name, fn)`` may wrap each step (the bench uses it).
 
     Up to ``parallel`` marts that don't depend on each other are written at the
@@ -120,12 +122,13 @@ def run_nightly(spark: SparkSession, src: SourceSet, base: str, run_ts: _dt.date
     def lab_refs() -> DataFrame:
         before = earlier("lab_refs")
         known = spark.read.parquet(before["path"]) if before else src["ref_labs_cpts"]
-        return register_new_codes(src["mq_labs_90days"], known, run_ts, lab_code_mode)
+        return register_new_codes(src["mq_labs_90days"], known, run_ts, lab_code_mode, collation)
 
     def worklist() -> DataFrame:
-        patients = industrial_patients(published("study_current"), published("patient"))
-        activity = emr_activity(src["mq_appointments"], src["mq_chemos"], src["mq_labs"], patients)
-        return build_worklist(activity, patients, published("lab_refs"), current_calendar_names(published("calendar")), run_ts)
+        patients = industrial_patients(published("study_current"), published("patient"), collation)
+        activity = emr_activity(src["mq_appointments"], src["mq_chemos"], src["mq_labs"], patients, collation)
+        names = current_calendar_names(published("calendar"), collation)
+        return build_worklist(activity, patients, published("lab_refs"), names, run_ts, collation)
 
     build: dict[str, Callable[[], DataFrame]] = {
         "study": lambda: build_study(src, run_ts),
@@ -148,7 +151,7 @@ def run_nightly(spark: SparkSession, src: SourceSet, base: str, run_ts: _dt.date
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
         inputs = {parent: paths[parent] for parent in PARENTS[name]}
         if name == "lab_refs":
-            inputs = {"mode": lab_code_mode, "before": (earlier("lab_refs") or {}).get("path", "")}
+            inputs = {"mode": lab_code_mode, "collation": collation or "", "before": (earlier("lab_refs") or {}).get("path", "")}
         done = manifest(spark, base, name, rid) if resume else None
         if done and done["inputs"] == inputs:
             switch(spark, base, name, done, TABLES[name] if tables else None)
