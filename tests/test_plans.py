@@ -154,6 +154,30 @@ def test_eav_is_scanned_once(spark):
     assert sorted(map(str, out.collect())) == sorted(map(str, chain.collect()))
 
 
+def test_hot_entity_never_is_one_row(wide_shuffle):
+    """JOI-09: one study holds 70 % of the attributes, most of them in one slot; results as by one join per slot, spread over tasks."""
+    spark = wide_shuffle
+    eav = spark.range(12_000).selectExpr(
+        "CASE WHEN id % 10 < 7 THEN 5L WHEN id % 400 = 9 THEN NULL ELSE id % 3000 END AS fk_study",
+        "CAST(CASE WHEN id % 10 < 7 THEN IF(id > 11990, 2, 1) ELSE 1 + id % 3 END AS INT) AS fk_codelst_idtype",
+        "IF(id % 3 = 0, 'Y', 'v' || (id % 5000)) AS studyid_id", "id AS pk_studyid")
+    df = spark.range(3100).selectExpr("IF(id = 3099, NULL, id) AS pk_study", "'t' || id AS title")
+    slots = {"one": {"types": [1], "columns": {"studyid_id": "v1"}}, "two": {"types": [2, 3], "columns": {"studyid_id": "v2", "fk_codelst_idtype": "t2"}},
+             "yes": {"types": [3], "value": "Y", "columns": {"studyid_id": "v3"}}}
+    out = op.eav_slots(df, eav, "pk_study", slots, least_rows=50)
+    plain = df
+    for spec in slots.values():
+        where = F.col("fk_codelst_idtype").isin(spec["types"])
+        if "value" in spec:
+            where = where & (F.col("studyid_id") == spec["value"])
+        plain = op.lookup(plain, eav, ("pk_study", "fk_study"), spec["columns"], where=where)
+    assert out.columns == plain.columns
+    assert sorted(map(str, out.collect())) == sorted(map(str, plain.collect()))
+    hot = out.where("pk_study = 5")
+    parts = [r["count"] for r in hot.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(parts) > 50_000 and len(parts) >= 50 and max(parts) < sum(parts) / 20
+
+
 def test_worklist_restricts_activity_first(spark):
     build = MartBuild(from_testdata(spark, SMOKE), run_ts=RUN_TS)
     plan = build.worklist._jdf.queryExecution().optimizedPlan().toString()

@@ -1,8 +1,8 @@
 """Reusable DataFrame operators behind the marts.
 
 The operators are lazy plan fragments, except ``assign_keys`` (checkpoints the
-numbered rows), ``check_unique`` / ``eav_pivot`` and ``expand_left`` (one
-aggregate job).  Scale
+numbered rows), ``check_unique`` / ``eav_pivot``, ``expand_left`` and
+``eav_slots`` (one aggregate job).  Scale
 notes that apply throughout:
 
 * No join is hinted.  Spark broadcasts a side whose size, estimated or measured
@@ -153,16 +153,20 @@ def exclude_active(df: DataFrame, exclusions: DataFrame, key: str,
 
 def eav_slots(df: DataFrame, eav: DataFrame, key: str, slots: Mapping[str, Mapping],
               fk: str = "fk_study", type_col: str = "fk_codelst_idtype",
-              value_col: str = "studyid_id") -> DataFrame:
+              value_col: str = "studyid_id", least_rows: int = 1000) -> DataFrame:
     """Attribute slots from an entity-attribute-value table (JOI-09, faithful form).
 
     ``slots`` maps a slot name to ``{"types": [...], "value": <value filter or
-    None>, "columns": {eav_col: output}}``.  The table is scanned once, for the
-    types of all slots, and one aggregate per entity collects the rows of every
-    slot (as many as the entity has attribute rows); after one left join each
-    slot is exploded, so a slot with several rows for an entity fans out,
-    exactly like one filtered join per attribute, and one without rows gives
-    NULLs.
+    None>, "columns": {eav_col: output}}``.  A slot with several rows for an
+    entity fans out, exactly like one filtered join per attribute, and one
+    without rows gives NULLs.
+
+    For most entities the table is read once, for the types of all slots, and one
+    aggregate per entity collects the rows of every slot; after one left join each
+    slot is exploded.  Entities that hold a large share of the attribute rows
+    (``heavy_keys``) never become such a row: their slots are joined one after the
+    other, the largest last, salted (``expand_left``), so their rows stay spread
+    over the tasks.
     """
     match = {}
     for name, spec in slots.items():
@@ -171,10 +175,31 @@ def eav_slots(df: DataFrame, eav: DataFrame, key: str, slots: Mapping[str, Mappi
             cond = cond & (F.col(value_col) == F.lit(spec["value"]))
         match[name] = cond
     types = sorted({t for spec in slots.values() for t in spec["types"]})
+    rows = eav.filter(F.col(type_col).isin(types))
+    heavy = heavy_keys(rows, fk, least_rows=least_rows)
+    if heavy.isEmpty():
+        return _slots_at_once(df, rows, key, slots, match, fk)
+    named = F.broadcast(heavy.select(F.col(fk).alias("__heavy")))  # bounded by heavy_keys
+    light = _slots_at_once(df.join(named, F.col(key) == F.col("__heavy"), "left_anti"),
+                           rows.join(named, F.col(fk) == F.col("__heavy"), "left_anti"), key, slots, match, fk)
+    some = df.join(named, F.col(key) == F.col("__heavy"), "left_semi")
+    rows = rows.join(named, F.col(fk) == F.col("__heavy"), "left_semi")
+    sizes = rows.agg(*[F.count_if(cond).alias(name) for name, cond in match.items()]).first()
+    for name in sorted(slots, key=lambda n: sizes[n]):  # the largest slot fans out last, over all its sub-keys
+        spec = slots[name]
+        columns = [F.col(c).alias(out) for c, out in spec["columns"].items()]
+        spread = F.xxhash64(*eav.columns).alias("__spread")  # whole rows: values may repeat
+        slot = rows.filter(match[name]).select(F.col(fk).alias("__ent"), spread, *columns)
+        some = expand_left(some, slot, key, "__ent", "__spread", heavy=heavy.withColumnRenamed(fk, "__ent")).drop("__ent", "__spread")
+    return light.unionByName(some)
+
+
+def _slots_at_once(df: DataFrame, rows: DataFrame, key: str, slots: Mapping[str, Mapping], match: Mapping[str, Column],
+                   fk: str) -> DataFrame:
     ent = _fresh("__ent")
     lists = [F.collect_list(F.when(cond, F.struct(*slots[name]["columns"]))).alias(f"__slot_{name}")
              for name, cond in match.items()]
-    wide = eav.filter(F.col(type_col).isin(types)).groupBy(F.col(fk).alias(ent)).agg(*lists)
+    wide = rows.groupBy(F.col(fk).alias(ent)).agg(*lists)
     df = df.join(wide, F.col(key) == F.col(ent), "left").drop(ent)
     for name, spec in slots.items():
         slot = f"__slot_{name}"

@@ -61,7 +61,7 @@ def heavy_keys(keys: DataFrame, key: str, *, parts: int | None = None, pieces: i
 
 def expand_left(df: DataFrame, right: DataFrame, key: str, right_key: str, spread_by: str,
                 keys: DataFrame | None = None, clustered: bool = False, pieces: int = PIECES,
-                heavy_part: float = HEAVY_PART, least_rows: int = 1000) -> DataFrame:
+                heavy_part: float = HEAVY_PART, least_rows: int = 1000, heavy: DataFrame | None = None) -> DataFrame:
     """Left join to a many side whose keys may be hot.
 
     The right rows of a heavy key are dealt over its sub-keys by a hash of
@@ -70,11 +70,12 @@ def expand_left(df: DataFrame, right: DataFrame, key: str, right_key: str, sprea
     Left rows without a match are kept once, with NULLs.  ``keys`` may give the
     (``right_key``, ``spread_by``) pairs of ``right`` from a cheaper source, for
     instance its base table before the lookups: it is read once or twice, with two
-    columns.  ``clustered`` asks for a sort-merge join, whose output lies together
+    columns.  ``heavy`` may give the result of an earlier ``heavy_keys``.  ``clustered`` asks for a sort-merge join, whose output lies together
     by key when it is written.
     """
     keys = right if keys is None else keys
-    heavy = heavy_keys(keys, right_key, pieces=pieces, heavy_part=heavy_part, least_rows=least_rows)
+    if heavy is None:
+        heavy = heavy_keys(keys, right_key, pieces=pieces, heavy_part=heavy_part, least_rows=least_rows)
     on = F.col(key) == F.col(right_key)
     side = right.hint("merge") if clustered else right
     if heavy.isEmpty():
