@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from trialmart.llm import queries
-from trialmart.llm.decontaminate import decontaminate, tile
+from trialmart.llm import decontaminate as tiling
+from trialmart.llm.decontaminate import Items, decontaminate, tile, tile_dense
 from trialmart.llm.html_text import Page, best_path, extract_main_text
 from trialmart.llm.pieces import LOCKSTEP, Pieces, decode, encode
 from trialmart.llm.quality import fit_quality, score_quality
@@ -39,6 +40,13 @@ def test_url_hard(spark):
     assert by[2][2:] == ("net/es/", "block") and by[16][2:] == ("a..net/es/é", "allow")
     assert by[6] == by[5] == by[3] == ("", "", None, "allow")
     assert by[13][2:] == ("com/", "block")
+    deep = "a." * 1500 + "deep.org"
+    hosts = spark.createDataFrame([(k, u) for k, u in enumerate(
+        ["http://x.com/a", "http://com", "http://com/en/b", "http://y.net/", f"http://{deep}/p", "http://b." + deep, "http://deep.orgs/"])], "page_id long, url string")
+    host_rules = spark.createDataFrame([("com", "block"), ("com/en/", "allow"), ("net/", "block"), (deep, "block"), ("deep.org", "block")], "rule string, verdict string")
+    plain = [key(url_filter(hosts, host_rules, max_image_bytes=n)) for n in (1 << 20, 0)]
+    assert plain[0] == plain[1]
+    assert [r[3:] for r in plain[0]] == [("com", "block"), ("com", "block"), ("com/en/", "allow"), ("net/", "block"), (deep, "block"), (deep, "block"), (None, "allow")]
     none = spark.createDataFrame([], "rule string, verdict string")
     assert {r.verdict for r in url_filter(pages, none, default="block").collect()} == {"block"}
     assert url_filter(pages.limit(0), rules).collect() == []
@@ -156,6 +164,66 @@ def test_tile_is_greedy():
     assert tile(np.zeros(0, np.int64), np.zeros(0, np.int64), 3) == []
 
 
+def brute_tiles(doc, item, width):
+    """Greedy string tiling by trying every pair of positions."""
+    doc_free, item_free, tiles = [True] * len(doc), [True] * len(item), []
+    while True:
+        best, found = width, []
+        for d in range(len(doc)):
+            for i in range(len(item)):
+                n = 0
+                while d + n < len(doc) and i + n < len(item) and doc[d + n] == item[i + n] and doc_free[d + n] and item_free[i + n]:
+                    n += 1
+                if n > best:
+                    best, found = n, [(d, i)]
+                elif n == best:
+                    found.append((d, i))
+        if not found:
+            return tiles
+        for d, i in found:
+            if all(doc_free[d:d + best]) and all(item_free[i:i + best]):
+                doc_free[d:d + best] = item_free[i:i + best] = [False] * best
+                tiles.append((d, i, best))
+
+
+def test_tiles_brute(monkeypatch):
+    rng = random.Random(6)
+    for letters in (1, 2, 3, 30):
+        for _ in range(25):
+            item = [rng.randrange(letters) for _ in range(rng.randrange(0, 25))]
+            doc = [rng.randrange(letters) for _ in range(rng.randrange(0, 10))]
+            for _ in range(rng.randrange(0, 4)):
+                a = rng.randrange(0, len(item) + 1)
+                doc += item[a:a + rng.randrange(0, 12)] + [rng.randrange(letters)]
+            want = brute_tiles(doc, item, 3)
+            assert tile_dense(np.array(doc, np.uint64), np.array(item, np.uint64), 3) == want
+            seeds = [(d, i) for d in range(len(doc) - 2) for i in range(len(item) - 2) if doc[d:d + 3] == item[i:i + 3]]
+            assert tile(*np.array(seeds, np.int64).reshape(-1, 2).T, 3) == want
+    texts = pa.array([" ".join(f"t{rng.randrange(4)}" for _ in range(60)) for _ in range(30)])
+    items = Items(list(range(5)), [" ".join(f"t{rng.randrange(4)}" for _ in range(20)) for _ in range(5)], 3)
+    whole = sorted(zip(*items.coverage(texts)))
+    for bound in (1, 50, 400):  # more and fewer documents that are tiled token by token
+        monkeypatch.setattr(tiling, "MAX_SEEDS", bound)
+        assert sorted(zip(*items.coverage(texts))) == whole and len(whole) > 50
+
+
+def test_repetitive_texts_stay_small():
+    import tracemalloc
+
+    items = Items([1], ["the " * 2000], 5)
+    tracemalloc.start()
+    got = items.coverage(pa.array(["the " * 8000, "the " * 30]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [x.tolist() for x in got] == [[0, 1], [0, 0], [1.0, 30 / 2000]] and peak < 60e6
+
+
+def test_very_short_items(spark):
+    bench = spark.createDataFrame([(1, "Yes"), (2, "oh no"), (3, "one two three")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "yes, it is"), (2, "YES!"), (3, "oh no no"), (4, "Oh, no."), (5, "zero one, two three four")], "doc_id long, text string")
+    assert {r.doc_id: r.item_id for r in decontaminate(docs, bench, ["doc_id"]).collect() if r.contaminated} == {2: 1, 4: 2, 5: 3}
+
+
 def test_decontaminate(spark, hard_docs, hard_rows, no_docs):
     bench = table(spark, "benchmark")
     items = {r.item_id: r.text for r in bench.collect()}

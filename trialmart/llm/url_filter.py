@@ -8,7 +8,8 @@ binary search per batch.  A key that hits is confirmed against the stored full
 string, so hash collisions never decide.  The longest confirmed rule wins.
 
 Defined cases: a null url, or one without ``://``, has empty host and path and
-matches nothing; repeated rules count once and, if their verdicts differ,
+matches nothing; a rule without ``/`` fits every path of its host and subdomains;
+repeated rules count once and, if their verdicts differ,
 ``block`` wins; null rules are ignored; no rules: every url gets the default.
 """
 
@@ -68,7 +69,7 @@ def pack(rules: list[tuple[str, str]]) -> bytes:
     keys = np.array([k for k, _, _ in rows], np.uint64)
     offs = np.cumsum([0, *(len(r) for _, r, _ in rows)]).astype(np.int64)
     block = np.array([b for _, _, b in rows], np.uint8)
-    lengths = np.unique([len(r.decode().partition("/")[2]) + 1 for _, r, _ in rows]).astype(np.int64)
+    lengths = np.unique([len(r.decode()) - len(r.decode().partition("/")[0]) for _, r, _ in rows]).astype(np.int64)  # of the paths, 0 without one
     return (struct.pack("<qq", len(rows), len(lengths)) + lengths.tobytes() + keys.tobytes()
             + offs.tobytes() + block.tobytes() + b"".join(r for _, r, _ in rows))
 
@@ -162,7 +163,7 @@ def _by_join(rows: DataFrame, rules: DataFrame, default: str) -> DataFrame:
     host = lower(F.coalesce(F.regexp_extract("_url", r"(?s)^.*?://([^/?#]*)", 1), F.lit("")))
     path = F.coalesce(F.regexp_extract("_url", r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
     parsed = rows.withColumn("_row", F.monotonically_increasing_id()).select("_row", "_id", host.alias("host"), path.alias("path"))
-    tails = F.expr("transform(sequence(1, size(split(host, '[.]'))), i -> array_join(slice(split(host, '[.]'), i, 1000), '.'))")
+    tails = F.expr("transform(sequence(1, size(split(host, '[.]'))), i -> array_join(slice(split(host, '[.]'), i, size(split(host, '[.]'))), '.'))")
     heads = F.filter(F.transform(F.array(*map(F.lit, sorted(lengths))),
                                  lambda n: F.when(n <= F.length("path"), F.substring("path", F.lit(1), n))),
                      lambda h: h.isNotNull())
