@@ -4,11 +4,14 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from trialmart.llm import queries, repeats
 from trialmart.llm.suffix_array import PERIOD, COVER, byte_classes, difference_cover, remove_repeated_bytes
 from trialmart.llm.word_windows import remove_repeated_words, word_classes
 
-from .conftest import table
+from ..compare import compare, duck_connection
+from .conftest import SF, table, words
 
 W = 50
 
@@ -67,6 +70,30 @@ def test_generated(spark, remove, split, join):
     assert got == want
 
 
+def test_oracle(spark):
+    n, problems = compare(queries.op6_suffix_array(spark, SF), duck_connection(SF), queries.ORACLES["op6_suffix_array"])
+    assert n > 0 and not problems
+
+
+@pytest.mark.parametrize("remove, split, join", [(remove_repeated_bytes, bytes_of, bytes), (remove_repeated_words, split_words, b" ".join)])
+def test_null_and_repeated_ids(spark, monkeypatch, remove, split, join):
+    """A third of the rows without an id, a third under one id (some of them repeated whole): no worker gets them together."""
+    rng = random.Random(12)
+    passage = words(rng, 60)
+    text = lambda: " ".join([words(rng, rng.randrange(5, 60)), *([passage] if rng.random() < 0.4 else []), words(rng, rng.randrange(5, 60))])
+    rows = [(None, text()) for _ in range(60)] + [(7, text()) for _ in range(40)] + [(k, text()) for k in range(60)]
+    rows += [rows[70]] * 20 + [rows[5]] * 3 + [(7, None), (7, None), (None, None), (3, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    monkeypatch.setattr(repeats, "GROUP_BYTES", 2000)
+    got = sorted(((r.doc_id, r[1], r.n_removed, r.kept_sha256) for r in remove(docs, ["doc_id"]).collect()), key=str)
+    want = sorted(((i, n, g, d) for i, n, g, _, d in brute(rows, split, join)), key=str)
+    assert got == want and sum(g > 0 for _, _, g, _ in want) > 20
+    # what a worker is dealt is bounded by bytes, whatever the ids
+    dealt = repeats.deal_groups(docs.where("doc_id is not null").dropDuplicates(), "doc_id", "text")
+    sizes = [r.n for r in dealt.groupBy("_dp").agg(F.sum(F.octet_length("text")).alias("n")).collect()]
+    assert len(sizes) > 10 and max(sizes) < 6 * 2000
+
+
 def test_empty_and_text(no_docs, spark):
     assert remove_repeated_words(no_docs, ["doc_id"]).collect() == []
     assert remove_repeated_bytes(no_docs, ["doc_id"]).collect() == []

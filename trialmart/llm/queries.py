@@ -177,6 +177,25 @@ def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_bytes(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+ORACLES["op6_suffix_array"] = """
+WITH bytes AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (
+    SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s
+    FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM bytes)),
+first AS (SELECT s, min(doc_id) AS d FROM windows GROUP BY s),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM windows JOIN first USING (s) WHERE d < doc_id),
+spans AS (
+    SELECT doc_id, count(*) AS n_removed, count(*) FILTER (before IS NULL OR before <> p - 1) AS n_spans
+    FROM (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM gone) GROUP BY doc_id),
+single AS (
+    SELECT doc_id, p, substr(h, 2 * p + 1, 2) AS b FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2)) AS p FROM bytes)),
+kept AS (SELECT doc_id, string_agg(b, '' ORDER BY p) AS k FROM single ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(k, ''))) AS kept_sha256
+FROM bytes LEFT JOIN spans USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
 @query
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))

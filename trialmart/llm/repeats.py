@@ -17,8 +17,12 @@ goes if its content also starts in a document with a smaller id.  The steps:
     the covered stretches.
 5.  The stretches meet their documents again.
 
-The documents are dealt by id into groups of bounded bytes; steps 2, 3 and 5
-read one and the same exchange.  Everything else that moves is packed in rows
+The documents are dealt by a hash of id and text into groups of some
+``GROUP_BYTES``, so neither a frequent id nor missing ids fill a group: rows
+without an id are never covered and don't take part, and if rows repeat id and
+text, each such pair takes part once (reduced map-side) and its result is joined
+to the rows, a join that Spark can split.  Steps 2, 3 and 5 read one and the same
+exchange.  Everything else that moves is packed in rows
 of arrays per group or bucket, and its volume follows the input.
 """
 
@@ -32,11 +36,11 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .bytes_ import NOT_SPACE, U64, mix, prefix_hash, ragged, span_hash, text_view, tokens
+from .bytes_ import NOT_SPACE, U64, mix, prefix_hash, ragged, slices, span_hash, text_view, tokens
 from .spark_ import shuffle_parts
 
 WINDOW = 50
@@ -64,13 +68,6 @@ def unpack(data: bytes, *types: type) -> list[np.ndarray]:
     return out
 
 
-def _prime(least: int) -> int:
-    n = max(3, least) | 1
-    while any(n % d == 0 for d in range(3, int(n ** 0.5) + 1, 2)):
-        n += 2
-    return n
-
-
 class Units:
     """The units of a run of texts and the hashes of their ``gram``-unit pieces."""
 
@@ -169,6 +166,20 @@ def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[byte
         yield bucket, [data for _, data in group]
 
 
+def _digest(text: str) -> Column:
+    return F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
+
+
+def _group(id_: str, digest: str | Column, groups: int) -> Column:
+    return F.pmod(F.xxhash64(id_, digest), F.lit(groups))
+
+
+def deal_groups(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` with the group ``_dp`` that a worker handles at once."""
+    total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    return docs.withColumn("_dp", _group(id_col, _digest(text_col), total // GROUP_BYTES + 1))
+
+
 def find_repeats(docs: DataFrame, *, kind: str, gram: int, classes: Callable[[np.ndarray, np.ndarray], tuple],
                  finish: Callable, out: T.StructType, id_col: str, text_col: str, keep: list[str]) -> DataFrame:
     """Run the steps above.
@@ -178,19 +189,50 @@ def find_repeats(docs: DataFrame, *, kind: str, gram: int, classes: Callable[[np
     equal windows have equal classes.  ``finish(text, covered)`` turns a text
     and its covered unit ranges (None: all) into the values of ``out``.
     """
-    spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"),
-                       F.struct(*keep).alias("_row"))
+    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"), F.struct(*keep).alias("_row"))
+    named, nameless = rows.where("_id is not null"), rows.where("_id is null")
+    row = T.StructType([rows.schema["_row"]])
+
+    def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.zeros((0, 2), np.int64)
+        for part in slices(batches, "_text"):
+            raw, offs = text_view(part.column(0))
+            data = raw.tobytes()
+            yield _results([finish(data[a:b], none) for a, b in zip(offs, offs[1:])], part.column(1), "_row", out)
+
+    whole = nameless.select("_text", "_row").mapInArrow(untouched, T.StructType([*row, *out])).select("_row.*", *out.names)
+    keyed = named.withColumn("_digest", _digest("_text"))
+    repeated = not keyed.groupBy("_id", "_digest").count().where("count > 1").isEmpty()
+    if not repeated:
+        found = _covered(named, kind=kind, gram=gram, classes=classes, finish=finish, out=out)
+        return found.select("_row.*", *out.names).unionByName(whole)
+    once = (keyed.groupBy("_id", "_digest").agg(F.first("_text").alias("_text"))
+            .select("_id", "_text", F.struct("_id", "_digest").alias("_row")))
+    found = _covered(once, kind=kind, gram=gram, classes=classes, finish=finish, out=out)
+    found = found.select(F.col("_row._id").alias("_i"), F.col("_row._digest").alias("_d"), F.struct(*out.names).alias("_found"))
+    met = (keyed.select("_id", "_digest", "_row")
+           .join(found, (F.col("_id") == F.col("_i")) & (F.col("_digest") == F.col("_d"))))
+    return met.select("_row.*", "_found.*").unionByName(whole)
+
+
+def _results(values: list[tuple], carried: pa.Array, name: str, out: T.StructType) -> pa.RecordBatch:
+    kinds = {"bigint": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+    columns = list(zip(*values)) or [()] * len(out)
+    return pa.RecordBatch.from_arrays([carried, *(pa.array(c, kinds[f.dataType.simpleString()]) for c, f in zip(columns, out))],
+                                      names=[name, *out.names])
+
+
+def _covered(rows: DataFrame, *, kind: str, gram: int, classes: Callable, finish: Callable, out: T.StructType) -> DataFrame:
+    """(``_row``, values of ``out``) of the rows (``_id``, ``_text``, ``_row``), whose ids are not null."""
+    spark = rows.sparkSession
     total = rows.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     parts = max(shuffle_parts(spark), total // (64 << 20))
-    groups = _prime(total // GROUP_BYTES)
     buckets = max(parts, total // GROUP_BYTES)
     thirds = max(parts, int(total * 2 / (WINDOW - gram + 2)) // FINGERPRINTS)
-    dealt = rows.withColumn("_dp", F.coalesce(F.pmod("_id", F.lit(groups)), F.lit(0)).cast("long"))
-    dealt = dealt.select("_dp", "_id", "_text", "_row")
-    digest = F.unhex(F.sha2(F.coalesce(F.col("_text"), F.lit("")), 256))
-    reps = (rows.where("_id is not null").select("_id", digest.alias("_data")).groupBy("_data").agg(F.min("_id").alias("_id"))
-            .select(F.pmod("_id", F.lit(groups)).cast("long").alias("_dp"), F.lit(0).alias("_kind"), "_id", "_data"))
+    groups = total // GROUP_BYTES + 1
+    dealt = rows.select(_group("_id", _digest("_text"), groups).alias("_dp"), "_id", "_text", "_row")
+    reps = (rows.select("_id", _digest("_text").alias("_data")).groupBy("_data").agg(F.min("_id").alias("_id"))
+            .select(_group("_id", "_data", groups).alias("_dp"), F.lit(0).alias("_kind"), "_id", "_data"))
 
     def meet(right: DataFrame, step: Callable, schema: T.StructType) -> DataFrame:
         return dealt.groupBy("_dp").cogroup(right.groupBy("_dp")).applyInArrow(step, schema)
@@ -198,7 +240,11 @@ def find_repeats(docs: DataFrame, *, kind: str, gram: int, classes: Callable[[np
     def spread(packed: DataFrame) -> DataFrame:
         return packed.repartition(parts, "_bucket").sortWithinPartitions("_bucket")
 
+    def group_of(left: pa.Table, right: pa.Table) -> np.ndarray:
+        return np.array([(left if left.num_rows else right).column("_dp")[0].as_py()], np.int64)
+
     def send_minimisers(left: pa.Table, right: pa.Table) -> pa.Table:
+        here = group_of(left, right)
         left, ids, _ = _representatives(left, right)
         text, _, _, low = Units(left.column("_text"), kind, gram).runs()
         order = np.lexsort((low, text))
@@ -209,23 +255,24 @@ def find_repeats(docs: DataFrame, *, kind: str, gram: int, classes: Callable[[np
         sent = []
         for bucket, pick in _by_bucket((low >> U64(32)) % U64(thirds)):
             who, count = np.unique(text[pick], return_counts=True)
-            sent.append((bucket, pack(ids[who], count.astype(np.int32), low[pick].astype(np.uint32))))
+            sent.append((bucket, pack(ids[who], count.astype(np.int32), low[pick].astype(np.uint32), here)))
         return _table(BUCKET, sent)
 
     def shared_minimisers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, packed in _streams(batches):
-            pieces = [unpack(p, np.int64, np.int32, np.uint32) for p in packed]
-            who = np.concatenate([np.repeat(ids, n) for ids, n, _ in pieces])
-            low = np.concatenate([low for _, _, low in pieces])
+            pieces = [unpack(p, np.int64, np.int32, np.uint32, np.int64) for p in packed]
+            who = np.concatenate([np.repeat(ids, n) for ids, n, _, _ in pieces])
+            low = np.concatenate([low for _, _, low, _ in pieces])
+            home = np.concatenate([np.full(len(low), at[0]) for _, _, low, at in pieces])
             order = np.lexsort((who, low))
-            who, low = who[order], low[order]
+            who, low, home = who[order], low[order], home[order]
             edge = np.flatnonzero(np.append(True, low[1:] != low[:-1]))
             many = np.diff(np.append(edge, len(low)))
             two = who[edge] != who[edge + many - 1]
             hit = np.repeat(two, many)
-            who, code = who[hit], low[hit].astype(U64) | U64(bucket << 32)
+            who, code, home = who[hit], low[hit].astype(U64) | U64(bucket << 32), home[hit]
             rows_ = []
-            for dp, pick in _by_bucket(who % groups):
+            for dp, pick in _by_bucket(home):
                 pick = pick[np.argsort(who[pick], kind="stable")]
                 ids, n = np.unique(who[pick], return_counts=True)
                 rows_.append((dp, 1, None, pack(ids, n.astype(np.int32), code[pick])))
@@ -233,6 +280,7 @@ def find_repeats(docs: DataFrame, *, kind: str, gram: int, classes: Callable[[np
                 yield _table(LINKS, rows_).combine_chunks().to_batches()[0]
 
     def send_strings(left: pa.Table, right: pa.Table) -> pa.Table:
+        here = group_of(left, right)
         left, ids, tags = _representatives(left, right)
         known = [unpack(d, np.int64, np.int32, U64)
                  for k, d in zip(right.column("_kind").to_pylist(), right.column("_data").to_pylist()) if k == 1]
@@ -249,12 +297,13 @@ def find_repeats(docs: DataFrame, *, kind: str, gram: int, classes: Callable[[np
         for bucket, pick in _by_bucket(mix(low, 3) % U64(buckets)):
             raw, size = units.span(first[pick], windows[pick] + WINDOW - 1)
             sent.append((bucket, pack(ids[text[pick]], tags[text[pick]], first[pick] - begin[pick],
-                                      size.astype(np.int64), raw)))
+                                      size.astype(np.int64), raw, here)))
         return _table(BUCKET, sent)
 
     def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, packed in _streams(batches):
-            pieces = [unpack(p, np.int64, np.int64, np.int64, np.int64, np.uint8) for p in packed]
+            pieces = [unpack(p, np.int64, np.int64, np.int64, np.int64, np.uint8, np.int64) for p in packed]
+            home = np.concatenate([np.full(len(p[0]), p[5][0]) for p in pieces])
             ids, tags, first, size = (np.concatenate([p[k] for p in pieces]) for k in range(4))
             raw = np.concatenate([p[4] for p in pieces])
             offsets = np.concatenate([[0], np.cumsum(size)])
@@ -284,7 +333,7 @@ def find_repeats(docs: DataFrame, *, kind: str, gram: int, classes: Callable[[np
             a = np.flatnonzero(fresh)
             b = np.append(a[1:], len(string)) - 1
             who, tag, low, high = ids[string[a]], tags[string[a]], place[a], place[b] + WINDOW
-            rows_ = [(dp, 2, None, pack(who[pick], tag[pick], low[pick], high[pick])) for dp, pick in _by_bucket(who % groups)]
+            rows_ = [(dp, 2, None, pack(who[pick], tag[pick], low[pick], high[pick])) for dp, pick in _by_bucket(home[string[a]])]
             yield _table(LINKS, rows_).combine_chunks().to_batches()[0]
 
     def apply(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -303,23 +352,18 @@ def find_repeats(docs: DataFrame, *, kind: str, gram: int, classes: Callable[[np
         values = []
         for i, text in zip(*_rows_of(left)):
             digest = hashlib.sha256(text).digest()
-            if i is None:
-                covered = none
-            elif (i, digest) not in standing:
+            if (i, digest) not in standing:
                 covered = None
             else:
                 covered = ranges.get((i, struct.unpack("<q", digest[:8])[0]), none)
             values.append(finish(text, covered))
-        columns = list(zip(*values)) or [()] * len(out)
-        arrow = {"bigint": pa.int64(), "string": pa.string(), "binary": pa.binary()}
-        return pa.Table.from_arrays([left.column("_row"), *(pa.array(c, arrow[f.dataType.simpleString()]) for c, f in zip(columns, out))],
-                                    names=["_row", *out.names])
+        return pa.Table.from_batches([_results(values, left.column("_row").combine_chunks(), "_row", out)])
 
     shared = spread(meet(reps, send_minimisers, BUCKET)).mapInArrow(shared_minimisers, LINKS)
     strings = meet(reps.union(shared), send_strings, BUCKET)
     stretches = spread(strings).mapInArrow(cover, LINKS)
     full = T.StructType([T.StructField("_row", rows.schema["_row"].dataType), *out])
-    return meet(reps.union(stretches), apply, full).select("_row.*", *out.names)
+    return meet(reps.union(stretches), apply, full)
 
 
 def merged(low: np.ndarray, high: np.ndarray) -> np.ndarray:
