@@ -41,8 +41,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # Written once, so that a row keeps its number; rows that share an id are rows of their own.
-    rows = stored(_carried(docs).withColumn("_key", F.monotonically_increasing_id()))
+    rows = _carried(docs).withColumn("_key", F.col("doc_id"))
+    if not rows.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
+        # Rows that share an id are rows of their own: numbered, and written once, so that each keeps its number.
+        rows = stored(_carried(docs).withColumn("_key", F.monotonically_increasing_id()))
     named = rows.where("doc_id is not null")
     classes = jaccard_join(named.select("_key", "text"), id_col="_key").select("_key", "class_id")
     first = (named.select("_key", "doc_id").join(classes, "_key")
