@@ -31,29 +31,35 @@ def tracked_items(parts: int, heavy_part: float = HEAVY_PART) -> int:
     return 1 << min(19, max(10, int(7 * parts / heavy_part).bit_length()))
 
 
-def frequent_keys(keys: DataFrame, key: str, tracked: int) -> DataFrame:
-    """(``key``, estimated rows) of the keys that may hold more than 7 / ``tracked`` of the rows; at most ``tracked`` rows."""
+def _summarised(keys: DataFrame, key: str, tracked: int) -> DataFrame:
+    """(``key``, ``rows``, ``__all``: rows with any key) of the frequent keys, in one pass over ``keys``."""
     named = keys.select(F.col(key).alias("__k")).where("__k IS NOT NULL")
     part = (named.groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGERS)).alias("__m"))
-            .agg(F.expr(f"approx_top_k_accumulate(__k, {tracked})").alias("__s")))
-    whole = part.groupBy(F.lit(0).alias("__m")).agg(F.expr(f"approx_top_k_combine(__s, {tracked})").alias("__s"))
-    items = whole.select(F.explode(F.expr(f"approx_top_k_estimate(__s, {tracked})")).alias("__i"))
-    return items.select(F.col("__i.item").alias(key), F.col("__i.count").alias("rows"))
+            .agg(F.expr(f"approx_top_k_accumulate(__k, {tracked})").alias("__s"), F.count(F.lit(1)).alias("__n")))
+    whole = part.groupBy(F.lit(0).alias("__m")).agg(F.expr(f"approx_top_k_combine(__s, {tracked})").alias("__s"),
+                                                    F.sum("__n").alias("__all"))
+    items = whole.select(F.explode(F.expr(f"approx_top_k_estimate(__s, {tracked})")).alias("__i"), "__all")
+    return items.select(F.col("__i.item").alias(key), F.col("__i.count").alias("rows"), "__all")
+
+
+def frequent_keys(keys: DataFrame, key: str, tracked: int) -> DataFrame:
+    """(``key``, estimated rows) of the keys that may hold more than 7 / ``tracked`` of the rows; at most ``tracked`` rows."""
+    return _summarised(keys, key, tracked).drop("__all")
 
 
 def heavy_keys(keys: DataFrame, key: str, *, parts: int | None = None, pieces: int = PIECES,
                heavy_part: float = HEAVY_PART, least_rows: int = 1000) -> DataFrame:
     """(``key``, ``salts``) of the keys worth splitting, as a table of fixed rows.
 
-    One job over the key column.  Its result, at most ``parts / heavy_part`` rows
+    One job that reads the key column once.  Its result, at most ``parts / heavy_part`` rows
     (fewer than ``least_rows`` rows of a key are never worth a sub-key), goes
     through the driver once, so that both sides of a join see the same salts.
     """
     spark = keys.sparkSession
     parts = parts or shuffle_partitions(spark)
     tracked = tracked_items(parts, heavy_part)
-    found = frequent_keys(keys, key, tracked)
-    mean = keys.agg(F.count(key)).scalar() / F.lit(parts)
+    found = _summarised(keys, key, tracked)
+    mean = F.col("__all") / F.lit(parts)
     heavy = (found.where((F.col("rows") >= least_rows) & (F.col("rows") > mean * heavy_part))
              .select(key, F.ceil(F.col("rows") * pieces / mean).cast("int").alias("salts")).where("salts > 1"))
     return spark.createDataFrame(heavy.collect(), heavy.schema)

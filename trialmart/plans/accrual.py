@@ -116,23 +116,36 @@ def _current_enrolled(patient: DataFrame) -> DataFrame:
 
 
 def study_patient(study_current: DataFrame, patient: DataFrame, layout, run_ts=None,
-                  keep_studies_without_patients: bool = False) -> DataFrame:
-    """DISTINCT current-study x patient projection in ``layout`` order."""
+                  keep_studies_without_patients: bool = False, clustering=None) -> DataFrame:
+    """DISTINCT current-study x patient projection in ``layout`` order.
+
+    ``clustering`` (``sinks.clustered``) says how ``patient`` lies in buckets by
+    study: its DISTINCT and the join then need no exchange of patients, and a hot
+    study's patients are met sub-key by sub-key.
+    """
     s_cols = [c for side, block in layout if side == "s" for c in block]
     p_items = [it for side, block in layout if side == "p" for it in block]
     study_side = study_current.select(*s_cols).distinct()
     p_exprs = [F.col("pkStudy_st").alias("__p_study")]
     p_exprs += [(F.col(n) if e is None else e(F.col)).alias(n) for n, e in p_items]
     names = [c if side == "s" else c[0] for side, block in layout for c in block]
+    same_study = F.col("pkStudy_st") == F.col("__p_study")
+    matching = same_study
+    if clustering is not None and clustering.heavy:
+        if clustering.spread_by not in names:  # equal rows must have equal sub-keys
+            raise ValueError(f"the patients are dealt by {clustering.spread_by}, which the layout lacks")
+        p_exprs.append(F.col(clustering.columns[-1]).alias("__p_deal"))
+        study_side = clustering.repeat(study_side, "__s_deal")
+        matching = matching & (F.col("__s_deal") == F.col("__p_deal"))
     order = [F.col(n) for n in names]
     stamp = fn.run_stamp(run_ts).alias("xDMrunDt")
     if keep_studies_without_patients:
         # inner join (which AQE splits at a hot study) plus the studies that no
         # patient has; a study whose patients are all discontinued is in neither
         kept = patient.filter(F.col("discontinueDt_pp").isNull()).select(*p_exprs).distinct()
-        joined = study_side.join(kept.hint("merge"), F.col("pkStudy_st") == F.col("__p_study"), "inner")
+        joined = study_side.join(kept.hint("merge"), matching, "inner")
         with_any = patient.select(F.col("pkStudy_st").alias("__p_study")).distinct()
-        alone = (study_current.join(with_any, F.col("pkStudy_st") == F.col("__p_study"), "left_anti")
+        alone = (study_current.join(with_any, same_study, "left_anti")
                  .select(*s_cols).distinct())
         # there an expression has its value on NULL inputs (e.g. the null-safe
         # patient name is ' '), as when it is evaluated after the outer join
@@ -141,25 +154,25 @@ def study_patient(study_current: DataFrame, patient: DataFrame, layout, run_ts=N
         rest = alone.select(*[missing[n].alias(n) if n in missing else F.col(n) for n in names], stamp)
         return joined.select(*order, stamp).union(rest)
     patient_side = _current_enrolled(patient).select(*p_exprs).distinct()
-    joined = study_side.join(patient_side.hint("merge"), F.col("pkStudy_st") == F.col("__p_study"), "inner")
+    joined = study_side.join(patient_side.hint("merge"), matching, "inner")
     return joined.select(*order, stamp)
 
 
-def build_accruals(study_current: DataFrame, patient: DataFrame, run_ts=None) -> DataFrame:
+def build_accruals(study_current: DataFrame, patient: DataFrame, run_ts=None, clustering=None) -> DataFrame:
     """M6 ``dm_accruals``: de-identified current enrollments (71 columns)."""
-    out = study_patient(study_current, patient, ACCRUAL_LAYOUT, run_ts)
+    out = study_patient(study_current, patient, ACCRUAL_LAYOUT, run_ts, clustering=clustering)
     leaked = set(out.columns) & set(PHI_COLUMNS)
     if leaked:
         raise ValueError(f"de-identified mart carries {sorted(leaked)}")
     return out
 
 
-def build_enrollments(study_current: DataFrame, patient: DataFrame, run_ts=None) -> DataFrame:
+def build_enrollments(study_current: DataFrame, patient: DataFrame, run_ts=None, clustering=None) -> DataFrame:
     """M7 ``dm_patient_enrollments``: identified current enrollments (87 columns)."""
-    return study_patient(study_current, patient, ENROLLMENT_LAYOUT, run_ts)
+    return study_patient(study_current, patient, ENROLLMENT_LAYOUT, run_ts, clustering=clustering)
 
 
-def build_statuses(study_current: DataFrame, patient: DataFrame, run_ts=None) -> DataFrame:
+def build_statuses(study_current: DataFrame, patient: DataFrame, run_ts=None, clustering=None) -> DataFrame:
     """M8 ``dm_patient_statuses``: all status records of non-discontinued protocols (91 columns)."""
     return study_patient(study_current, patient, STATUS_LAYOUT, run_ts,
-                         keep_studies_without_patients=True)
+                         keep_studies_without_patients=True, clustering=clustering)

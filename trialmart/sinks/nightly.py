@@ -15,7 +15,8 @@ from trialmart.plans.contracts import MART_SCHEMAS
 from trialmart.plans.worklist import (build_worklist, current_calendar_names, emr_activity,
                                       industrial_patients, register_new_codes)
 from trialmart.quality import Watch
-from trialmart.sinks.versions import manifest, publish, switch, versions
+from trialmart.sinks.clustered import Clustering, close_buckets, measured
+from trialmart.sinks.versions import manifest, publish, read_version, switch, versions
 from trialmart.sources import SourceSet
 
 RUN_ID_FORMAT = "%Y%m%d%H%M%S"
@@ -111,8 +112,10 @@ def run_nightly(spark: SparkSession, src: SourceSet, base: str, run_ts: _dt.date
     timer = timer or (lambda name, fn: fn())
     paths: dict[str, str] = {}
 
+    buckets: dict[str, Clustering] = {}
+
     def published(name: str) -> DataFrame:
-        return spark.read.parquet(paths[name])
+        return read_version(spark, manifest(spark, base, name, rid), clustered=True)
 
     def earlier(name: str) -> dict | None:
         """The last version before this run's."""
@@ -137,15 +140,18 @@ def run_nightly(spark: SparkSession, src: SourceSet, base: str, run_ts: _dt.date
         "study_team": lambda: build_study_team(src, run_ts),
         "lab_refs": lab_refs,
         "study_current": lambda: build_study_current(published("study"), src, run_ts),
-        "accruals": lambda: build_accruals(published("study_current"), published("patient"), run_ts),
-        "enrollments": lambda: build_enrollments(published("study_current"), published("patient"), run_ts),
-        "statuses": lambda: build_statuses(published("study_current"), published("patient"), run_ts),
+        "accruals": lambda: build_accruals(published("study_current"), published("patient"), run_ts, buckets.get("patient")),
+        "enrollments": lambda: build_enrollments(published("study_current"), published("patient"), run_ts, buckets.get("patient")),
+        "statuses": lambda: build_statuses(published("study_current"), published("patient"), run_ts, buckets.get("patient")),
         "worklist": worklist,
     }
 
     def write(name: str, inputs: dict[str, str]) -> str:
+        if name == "patient":  # read by study in M6-M8
+            buckets[name] = measured(src["er_patprot"], "fk_study", "pkStudy_st", "pkPatStudyStat_pps")
         with Watch() as watch:
-            return publish(build[name](), base, name, rid, TABLES[name] if tables else None, MART_SCHEMAS[name], inputs, KEYS[name], watch)
+            return publish(build[name](), base, name, rid, TABLES[name] if tables else None, MART_SCHEMAS[name], inputs,
+                           KEYS[name], watch, buckets.get(name))
 
     def step(name: str) -> None:
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
@@ -156,6 +162,9 @@ def run_nightly(spark: SparkSession, src: SourceSet, base: str, run_ts: _dt.date
         if done and done["inputs"] == inputs:
             switch(spark, base, name, done, TABLES[name] if tables else None)
             paths[name] = done["path"]
+            if done.get("clustering"):
+                buckets[name] = Clustering(**done["clustering"])
+                published(name)  # the catalog entry, before several marts want it
             return
         if name == "worklist" and (previous := earlier("worklist")):
             # archive the previous snapshot before the new one replaces it
@@ -164,7 +173,12 @@ def run_nightly(spark: SparkSession, src: SourceSet, base: str, run_ts: _dt.date
         paths[name] = timer(name, lambda: write(name, inputs))
 
     src.check_keys()
-    failed, skipped = _in_order(list(build), step, parallel)
+    try:
+        failed, skipped = _in_order(list(build), step, parallel)
+    finally:
+        for name in buckets:
+            if name in paths:
+                close_buckets(spark, paths[name])
     if failed:
         raise NightlyError(failed, skipped, paths)
     return paths

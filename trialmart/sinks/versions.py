@@ -19,6 +19,7 @@ from pyspark.sql.types import StructType
 
 from trialmart.contracts import conform
 from trialmart.quality import Watch
+from trialmart.sinks.clustered import Clustering, open_buckets, write_buckets
 
 
 def _located(spark: SparkSession, name: str):
@@ -79,7 +80,16 @@ def read_current(spark: SparkSession, base: str, mart: str) -> DataFrame:
     found = current(spark, base, mart)
     if found is None:
         raise ValueError(f"{mart} has no published version under {base}")
-    return spark.read.parquet(found["path"])
+    return read_version(spark, found)
+
+
+def read_version(spark: SparkSession, version: dict, clustered: bool = False) -> DataFrame:
+    """The rows of a version; with ``clustered`` a bucketed one as its buckets lie, with the sub-key."""
+    if not version.get("clustering"):
+        return spark.read.parquet(version["path"])
+    if clustered:
+        return open_buckets(spark, version["path"], version["columns"], Clustering(**version["clustering"]))
+    return spark.read.schema(version["columns"]).parquet(version["path"])  # no file where there is no row
 
 
 def leftovers(spark: SparkSession, base: str, mart: str) -> list[str]:
@@ -90,37 +100,46 @@ def leftovers(spark: SparkSession, base: str, mart: str) -> list[str]:
     return sorted(p for p in found if p not in named)
 
 
-def point_table(spark: SparkSession, table: str, path: str) -> None:
+def point_table(spark: SparkSession, table: str, path: str, columns: str = "") -> None:
+    """``columns`` declares what the table shows of the files; without it, all of them."""
     if spark.catalog.tableExists(table):
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
         spark.catalog.refreshTable(table)
     else:
-        spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
+        spark.sql(f"CREATE TABLE {table} {f'({columns})' if columns else ''} USING parquet LOCATION '{path}'")
 
 
 def switch(spark: SparkSession, base: str, mart: str, version: dict, table: str | None = None) -> None:
     """Make a complete version the one that readers get."""
     _replace_json(spark, f"{base}/{mart}/_current.json", version)
     if table:
-        point_table(spark, table, version["path"])
+        point_table(spark, table, version["path"], version.get("columns", ""))
 
 
 def publish(df: DataFrame, base: str, mart: str, run_id: str, table: str | None = None, contract: StructType | None = None,
-            inputs: Mapping[str, str] | None = None, keys: Sequence[str] = (), watch: Watch | None = None) -> str:
+            inputs: Mapping[str, str] | None = None, keys: Sequence[str] = (), watch: Watch | None = None,
+            clustering: Clustering | None = None) -> str:
     """Write ``df`` as the version ``run_id`` of ``mart`` and switch readers to it; returns its folder.
 
     ``contract`` is checked first.  The row count and the nulls among ``keys`` are
     observed by the write itself, as is what ``watch`` already watches; they are
     part of the manifest with ``inputs``, the versions that ``df`` was built from.
+    ``clustering`` stores the rows in buckets.
     """
     spark, watch = df.sparkSession, watch or Watch()
     if contract is not None:
         df = conform(df, contract, mart)
     path = f"{base}/{mart}/run_id={run_id}/attempt={uuid.uuid4().hex}"
-    watch.observe(df, "written", keys).write.mode("errorifexists").parquet(path)
+    seen = watch.observe(df, "written", keys)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    if clustering is None:
+        seen.write.mode("errorifexists").parquet(path)
+    else:
+        write_buckets(seen, path, columns, clustering)
     metrics = watch.metrics()
     version = {"mart": mart, "run_id": run_id, "path": path, "rows": metrics["written"]["rows"], "metrics": metrics,
-               "schema": df.schema.simpleString(), "inputs": dict(inputs or {})}
+               "schema": df.schema.simpleString(), "columns": columns, "inputs": dict(inputs or {}),
+               "clustering": clustering.to_json() if clustering else None}
     _replace_json(spark, f"{base}/{mart}/_manifests/{run_id}.json", version)
     switch(spark, base, mart, version, table)
     return path
