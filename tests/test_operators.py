@@ -33,6 +33,13 @@ def test_latest_per_group_keeps_ties_and_drops_null_keys(spark):
     assert got == [(1, 7), (1, 7), (2, 3)]
 
 
+def test_latest_per_group_null_orders_and_several_keys(spark):
+    df = spark.createDataFrame([(1, "a", None, 1), (1, "a", 2.0, 2), (1, "a", float("nan"), 3), (1, "a", float("nan"), 4), (1, "b", 1.0, 5),
+                                (1, None, 9.0, 6), (2, "a", None, 7), (2, "b", -1.0, 8)], "g long, h string, o double, __rank int")
+    assert sorted(r["__rank"] for r in op.latest_per_group(df, ["g", "h"], "o").collect()) == [3, 4, 5, 8]
+    assert op.latest_per_group(df.limit(0), ["g", "h"], "o").collect() == []
+
+
 def test_exclude_active(spark):
     df = spark.createDataFrame([(1,), (2,), (None,)], "s long")
     ex = spark.createDataFrame([(1, "Y"), (2, "N")], "pk_study long, is_active string")

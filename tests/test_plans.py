@@ -36,9 +36,35 @@ def test_filters_reach_the_scan(spark):
     assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,F)]" in plan
 
 
-def test_latest_per_group_has_no_window(spark):
-    plan = _plan(probes.latest_then_filter(spark, SMOKE))
-    assert "Window" not in plan and "LeftSemi" in plan
+def test_latest_per_group_reads_once(spark):
+    plan = _plan(probes.latest_then_filter(spark, SMOKE)).split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+    assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")  # limited before rows travel
+
+
+def test_latest_of_a_hot_group_is_reduced_before_the_exchange(spark):
+    """A group of 70,000 rows over ten tasks: each sends its own maximum and the row that ended its limit."""
+    rows = spark.range(0, 100_000, 1, 10).where("id % 10 < 7").selectExpr("1 AS g", "id AS o", "id")
+    latest = op.latest_per_group(rows, ["g"], "o")
+    assert [r.id for r in latest.collect()] == [99_996]
+    assert _rows_of(latest._jdf.queryExecution().executedPlan(), "Exchange") <= 2 * 10
+
+
+def _rows_of(plan, name):
+    """Rows that the first node of that name wrote, from the metrics of the executed plan."""
+    todo = [plan]
+    while todo:
+        node = todo.pop(0)
+        kind = node.nodeName()
+        if kind == name:
+            return node.metrics().apply("shuffleRecordsWritten").value()
+        if kind == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        elif "QueryStage" in kind:
+            todo.append(node.plan())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    raise LookupError(name)
 
 
 # --- hot keys ---------------------------------------------------------------------------

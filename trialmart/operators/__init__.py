@@ -9,8 +9,8 @@ notes that apply throughout:
   by AQE at run time, is below its byte threshold, and shuffles otherwise.
 * Aggregations are written so that Spark's partial (map-side) aggregation
   runs before the shuffle; nothing collects a group into one task.
-* Latest-per-group uses aggregate + semi join instead of a window, so a hot
-  group is reduced map-side instead of being sorted in one task.
+* Latest-per-group is a rank that Spark limits before the exchange, so its table is
+  read once and a hot group is reduced map-side.
 * A left join to a many side with hot keys is ``expand_left``: AQE cannot split
   the right side of an outer join, so heavy keys are measured and salted.
 * A dimension in many roles is ``lookup_roles``: one join for all of them where
@@ -123,20 +123,19 @@ def filtered_count(df: DataFrame, key: str, count_col: str, cond: Column | None,
 def latest_per_group(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
     """Rows whose ``order_col`` equals the group maximum (AGG-03); ties are kept.
 
-    Written as ``groupBy(keys).max`` + left-semi join on (keys, max): the
-    aggregate is partial map-side, so a group holding a large share of rows
-    never lands whole in one task, and the semi join is keyed on the near
-    unique (keys, max) tuple.  Rows with a NULL key never match, as with the
-    correlated ``MAX`` subquery this replaces.
+    ``rank() = 1`` in one scan: Spark limits each group by rank before the
+    exchange (``WindowGroupLimit``), so a task sends only the rows that tie for
+    the maximum of its part of a group, and a group holding a large share of all
+    rows is neither shuffled nor sorted whole in one task.  Rows with a NULL key
+    or order value never match, as with the correlated ``MAX`` subquery this
+    replaces.
     """
-    mx = _fresh("__max")
-    maxes = df.groupBy(*keys).agg(F.max(order_col).alias(mx))
-    cond = None
+    at = _fresh("__rank")
+    known = F.col(order_col).isNotNull()
     for k in keys:
-        term = df[k] == maxes[k]
-        cond = term if cond is None else cond & term
-    cond = cond & (df[order_col] == maxes[mx])
-    return df.join(maxes, cond, "left_semi")
+        known = known & F.col(k).isNotNull()
+    newest = Window.partitionBy(*keys).orderBy(F.col(order_col).desc())
+    return df.filter(known).withColumn(at, F.rank().over(newest)).filter(F.col(at) == 1).drop(at)
 
 
 def exclude_active(df: DataFrame, exclusions: DataFrame, key: str,

@@ -2,7 +2,7 @@
 scheduled events x open event status, plus 13 lookups.
 
 The "latest status" rule is a correlated ``MAX(pk)`` per (calendar, status)
-in the source; here it is ``latest_per_group`` (aggregate + semi join), and
+in the source; here it is ``latest_per_group`` (a rank in one scan), and
 the date threshold is applied *after* taking the latest row, so a calendar
 whose latest Active row is too old drops out, as in the source.
 """
