@@ -77,6 +77,10 @@ LEFT JOIN orders o ON o.o_orderkey = l.l_orderkey
 LEFT JOIN customer c ON c.c_custkey = o.o_custkey
 LEFT JOIN nation sn ON sn.n_nationkey = s.s_nationkey
 LEFT JOIN nation cn ON cn.n_nationkey = c.c_nationkey""",
+    "sink_changed_parts": """
+        SELECT o_orderkey, o_custkey, CASE WHEN o_custkey % 40 = 1 THEN '?' ELSE o_orderstatus END AS o_orderstatus,
+               TIMESTAMP '2024-02-03 06:00:00' AS "xDMrunDt"
+        FROM orders""",
     "sink_rerun": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders",
     "quality_report": """
 WITH wide AS (

@@ -641,6 +641,18 @@ def sink_snapshot_history(spark, sf):
     return spark.read.parquet(f"{base}/history").select("o_orderkey", "o_orderstatus", "xDMrunDt", F.col("run_id").cast("string"))
 
 
+def sink_changed_parts(spark, sf):
+    """Three nights of orders in parts by customer: the second changes nothing but the stamp, the third some customers."""
+    base = f"{checkpoint_dir(spark)}/probe-{uuid.uuid4()}"
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    changed = o.withColumn("o_orderstatus", F.when(F.col("o_custkey") % 40 == 1, F.lit("?")).otherwise(F.col("o_orderstatus")))
+    for night, rows in (("2024-02-01 06:00:00", o), ("2024-02-02 06:00:00", o), ("2024-02-03 06:00:00", changed)):
+        rows = rows.withColumn("xDMrunDt", fn.run_stamp(night))
+        parts = sinks.Parts("o_custkey", {"xDMrunDt": f"TIMESTAMP_NTZ '{night}'"})
+        sinks.publish(rows, base, "orders", sinks.run_id_of(night), parts=parts)
+    return sinks.read_current(spark, base, "orders")
+
+
 def sink_rerun(spark, sf):
     """A rerun of a published run that dies midway: readers keep the version they had."""
     base = f"{checkpoint_dir(spark)}/probe-{uuid.uuid4()}"
@@ -693,6 +705,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         fn_last_first, fn_name_collapse, fn_name_upper, fn_cycle_label,
         case_flag, case_label, case_code_map, case_code_map_null, case_category, case_fallback,
         project_alias, project_deidentified, rename_to_contract, check_unique_key, run_stamp,
-        lookup_collated, distinct_collated, worklist_collated, register_new_codes_collated, register_new_codes_anti, sink_full_refresh, sink_snapshot_history, sink_rerun, quality_report,
+        lookup_collated, distinct_collated, worklist_collated, register_new_codes_collated, register_new_codes_anti, sink_full_refresh, sink_snapshot_history, sink_rerun, sink_changed_parts, quality_report,
     ]
 }

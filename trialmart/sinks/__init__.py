@@ -6,6 +6,8 @@
   published run.  Columns are checked and written by name, in contract order.
 * ``clustered``: the patient mart lies in sorted buckets by study, hot studies over
   sub-keys, so M6-M8 read it without an exchange of patients.
+* ``parts``: a mart in parts by a key; a version writes the parts whose rows differ from
+  the version before and links the others.
 * ``archive_snapshot`` (SNK-02): writes a worklist snapshot into its run's
   partition of the history, replacing only that partition, so a rerun (also
   of a half-written run) gives the same history and no row depends on its
@@ -26,10 +28,11 @@ the file system.
 from trialmart.sinks.clustered import Clustering, measured
 from trialmart.sinks.nightly import (KEYS, PARENTS, RUN_ID_FORMAT, TABLES, NightlyError, archive_snapshot, quality_report,
                                      run_id_of, run_nightly)
+from trialmart.sinks.parts import Parts
 from trialmart.sinks.versions import current, leftovers, manifest, publish, read_current, read_version, switch, versions
 
 __all__ = [
-    "Clustering", "KEYS", "PARENTS", "RUN_ID_FORMAT", "TABLES", "NightlyError", "archive_snapshot", "current", "leftovers",
+    "Clustering", "KEYS", "PARENTS", "RUN_ID_FORMAT", "TABLES", "NightlyError", "Parts", "archive_snapshot", "current", "leftovers",
     "manifest", "measured", "publish", "quality_report", "read_current", "read_version", "run_id_of", "run_nightly", "switch",
     "versions",
 ]

@@ -16,6 +16,7 @@ from trialmart.plans.worklist import (build_worklist, current_calendar_names, em
                                       industrial_patients, register_new_codes)
 from trialmart.quality import Watch
 from trialmart.sinks.clustered import Clustering, close_buckets, measured
+from trialmart.sinks.parts import Parts
 from trialmart.sinks.versions import manifest, publish, read_version, switch, versions
 from trialmart.sources import SourceSet
 
@@ -42,6 +43,9 @@ KEYS = {
     "statuses": ["pkStudy_st", "pkPatProt_pp"], "lab_refs": ["lc_idx", "labdesc"], "worklist": ["MRN_mq"],
 }
 
+#: The column with the time of the run, one value throughout a mart.
+STAMP = "xDMrunDt"
+
 
 class NightlyError(RuntimeError):
     """Some marts failed; ``failed`` has their errors, ``skipped`` the marts that depend on them."""
@@ -57,10 +61,12 @@ def run_id_of(run_ts: _dt.datetime | str) -> str:
     return run_ts.strftime(RUN_ID_FORMAT)
 
 
-def archive_snapshot(spark: SparkSession, snapshot_path: str, history_path: str, run_id: str,
+def archive_snapshot(spark: SparkSession, snapshot: str | DataFrame, history_path: str, run_id: str,
                      table: str | None = None) -> None:
-    """Put all rows of the snapshot into partition ``run_id`` of the history, replacing that partition only."""
-    (spark.read.parquet(snapshot_path).drop("run_id").withColumn("run_id", F.lit(run_id))
+    """Put all rows of the snapshot (its folder, or its rows) into partition ``run_id`` of the history, replacing that
+    partition only."""
+    rows = spark.read.parquet(snapshot) if isinstance(snapshot, str) else snapshot
+    (rows.drop("run_id").withColumn("run_id", F.lit(run_id))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(history_path))
     if table:
         if not spark.catalog.tableExists(table):
@@ -91,7 +97,7 @@ def _in_order(names: list[str], work: Callable[[str], None], parallel: int) -> t
 
 def run_nightly(spark: SparkSession, src: SourceSet, base: str, run_ts: _dt.datetime | str | None = None,
                 tables: bool = False, lab_code_mode: str = "anti", timer=None, parallel: int = 4,
-                resume: bool = False, collation: str | None = None) -> dict[str, str]:
+                resume: bool = False, collation: str | None = None, changed_only: bool = False) -> dict[str, str]:
     """Build and publish all marts under ``base``; returns ``{mart: path}``.
 
     ``lab_code_mode`` is M10's rule: ``anti`` adds each unknown lab name once;
@@ -105,10 +111,16 @@ def run_nightly(spark: SparkSession, src: SourceSet, base: str, run_ts: _dt.date
     depends on it; the others are published before ``NightlyError`` is raised.
     With ``resume``, marts that this run already published from the same inputs
     are taken as they are; the sources must not have changed since.
+
+    With ``changed_only``, all marts but the patient mart (which lies in buckets)
+    are stored in parts by their first key, and a night writes only parts whose
+    rows differ from the version before, run stamps apart.  Read such marts by
+    ``read_current`` or their view, not by the path.
     """
     if run_ts is None:
         run_ts = _dt.datetime.now().replace(microsecond=0)
     rid = run_id_of(run_ts)
+    run_time = _dt.datetime.fromisoformat(str(run_ts)).isoformat(" ")
     timer = timer or (lambda name, fn: fn())
     paths: dict[str, str] = {}
 
@@ -124,7 +136,7 @@ def run_nightly(spark: SparkSession, src: SourceSet, base: str, run_ts: _dt.date
 
     def lab_refs() -> DataFrame:
         before = earlier("lab_refs")
-        known = spark.read.parquet(before["path"]) if before else src["ref_labs_cpts"]
+        known = read_version(spark, before) if before else src["ref_labs_cpts"]
         return register_new_codes(src["mq_labs_90days"], known, run_ts, lab_code_mode, collation)
 
     def worklist() -> DataFrame:
@@ -149,9 +161,13 @@ def run_nightly(spark: SparkSession, src: SourceSet, base: str, run_ts: _dt.date
     def write(name: str, inputs: dict[str, str]) -> str:
         if name == "patient":  # read by study in M6-M8
             buckets[name] = measured(src["er_patprot"], "fk_study", "pkStudy_st", "pkPatStudyStat_pps")
+        parts = None
+        if changed_only and name not in buckets:
+            stamped = {STAMP: f"TIMESTAMP_NTZ '{run_time}'"} if STAMP in MART_SCHEMAS[name].names else {}
+            parts = Parts(KEYS[name][0], stamped)
         with Watch() as watch:
             return publish(build[name](), base, name, rid, TABLES[name] if tables else None, MART_SCHEMAS[name], inputs,
-                           KEYS[name], watch, buckets.get(name))
+                           KEYS[name], watch, buckets.get(name), parts)
 
     def step(name: str) -> None:
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
@@ -168,7 +184,7 @@ def run_nightly(spark: SparkSession, src: SourceSet, base: str, run_ts: _dt.date
             return
         if name == "worklist" and (previous := earlier("worklist")):
             # archive the previous snapshot before the new one replaces it
-            archive_snapshot(spark, previous["path"], f"{base}/worklist_history", previous["run_id"],
+            archive_snapshot(spark, read_version(spark, previous), f"{base}/worklist_history", previous["run_id"],
                              TABLES["worklist_history"] if tables else None)
         paths[name] = timer(name, lambda: write(name, inputs))
 

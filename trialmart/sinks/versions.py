@@ -6,6 +6,10 @@ no write ever touches what readers see.  When its files are complete, a manifest
 makes it the version of that run, and ``<base>/<mart>/_current.json`` and the
 catalog table are pointed to it.  Manifests and pointer are replaced by an
 atomic rename.  A write that dies leaves a folder that nothing names.
+
+A mart in parts (``parts.py``) writes only the parts that differ from the version
+readers have; its manifest names the folder of every part, in whichever attempt
+it was written, and its catalog entry is a view, replaced in one statement.
 """
 
 from __future__ import annotations
@@ -20,6 +24,7 @@ from pyspark.sql.types import StructType
 from trialmart.contracts import conform
 from trialmart.quality import Watch
 from trialmart.sinks.clustered import Clustering, open_buckets, write_buckets
+from trialmart.sinks.parts import Parts, ddl, read_parts, view_sql, write_parts
 
 
 def _located(spark: SparkSession, name: str):
@@ -85,6 +90,8 @@ def read_current(spark: SparkSession, base: str, mart: str) -> DataFrame:
 
 def read_version(spark: SparkSession, version: dict, clustered: bool = False) -> DataFrame:
     """The rows of a version; with ``clustered`` a bucketed one as its buckets lie, with the sub-key."""
+    if version.get("parts") is not None:
+        return read_parts(spark, version)
     if not version.get("clustering"):
         return spark.read.parquet(version["path"])
     if clustered:
@@ -93,8 +100,13 @@ def read_version(spark: SparkSession, version: dict, clustered: bool = False) ->
 
 
 def leftovers(spark: SparkSession, base: str, mart: str) -> list[str]:
-    """Attempt folders that no manifest names: of writes that died, or that a rerun has replaced."""
-    named = {manifest(spark, base, mart, v)["path"] for v in versions(spark, base, mart)}
+    """Attempt folders that no manifest names: of writes that died, or that a rerun has replaced.
+
+    A folder with a part that some version still links is named.
+    """
+    named = set()
+    for known in (manifest(spark, base, mart, v) for v in versions(spark, base, mart)):
+        named |= {known["path"], *(p["path"].rsplit("/", 1)[0] for p in (known.get("parts") or {}).values())}
     runs = [n for n in _listed(spark, f"{base}/{mart}") if n.startswith("run_id=")]
     found = [f"{base}/{mart}/{r}/{a}" for r in runs for a in _listed(spark, f"{base}/{mart}/{r}") if a.startswith("attempt=")]
     return sorted(p for p in found if p not in named)
@@ -102,6 +114,8 @@ def leftovers(spark: SparkSession, base: str, mart: str) -> list[str]:
 
 def point_table(spark: SparkSession, table: str, path: str, columns: str = "") -> None:
     """``columns`` declares what the table shows of the files; without it, all of them."""
+    if _is_view(spark, table):  # the mart was stored in parts before
+        spark.sql(f"DROP VIEW {table}")
     if spark.catalog.tableExists(table):
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
         spark.catalog.refreshTable(table)
@@ -109,37 +123,56 @@ def point_table(spark: SparkSession, table: str, path: str, columns: str = "") -
         spark.sql(f"CREATE TABLE {table} {f'({columns})' if columns else ''} USING parquet LOCATION '{path}'")
 
 
+def _is_view(spark: SparkSession, table: str) -> bool:
+    return spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType == "VIEW"
+
+
+def point_view(spark: SparkSession, table: str, version: dict) -> None:
+    """Show a version in parts.  A table of that name, of a full refresh, gives way; its files stay."""
+    if spark.catalog.tableExists(table) and not _is_view(spark, table):
+        spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"CREATE OR REPLACE VIEW {table} AS {view_sql(version)}")
+
+
 def switch(spark: SparkSession, base: str, mart: str, version: dict, table: str | None = None) -> None:
     """Make a complete version the one that readers get."""
     _replace_json(spark, f"{base}/{mart}/_current.json", version)
-    if table:
+    if table and version.get("parts") is not None:
+        point_view(spark, table, version)
+    elif table:
         point_table(spark, table, version["path"], version.get("columns", ""))
 
 
 def publish(df: DataFrame, base: str, mart: str, run_id: str, table: str | None = None, contract: StructType | None = None,
             inputs: Mapping[str, str] | None = None, keys: Sequence[str] = (), watch: Watch | None = None,
-            clustering: Clustering | None = None) -> str:
+            clustering: Clustering | None = None, parts: Parts | None = None) -> str:
     """Write ``df`` as the version ``run_id`` of ``mart`` and switch readers to it; returns its folder.
 
     ``contract`` is checked first.  The row count and the nulls among ``keys`` are
     observed by the write itself, as is what ``watch`` already watches; they are
     part of the manifest with ``inputs``, the versions that ``df`` was built from.
-    ``clustering`` stores the rows in buckets.
+    ``clustering`` stores the rows in buckets; ``parts`` stores them in parts and
+    writes those that differ from the version readers have (the folder returned
+    holds only these, and does not exist where nothing changed).
     """
+    if clustering is not None and parts is not None:
+        raise ValueError("a mart lies in buckets or in parts, not in both")
     spark, watch = df.sparkSession, watch or Watch()
     if contract is not None:
         df = conform(df, contract, mart)
     path = f"{base}/{mart}/run_id={run_id}/attempt={uuid.uuid4().hex}"
     seen = watch.observe(df, "written", keys)
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    if clustering is None:
+    columns, more = ddl(df.schema), {}
+    if parts is not None:
+        more = write_parts(seen, path, parts, current(spark, base, mart))
+    elif clustering is None:
         seen.write.mode("errorifexists").parquet(path)
     else:
         write_buckets(seen, path, columns, clustering)
     metrics = watch.metrics()
     version = {"mart": mart, "run_id": run_id, "path": path, "rows": metrics["written"]["rows"], "metrics": metrics,
                "schema": df.schema.simpleString(), "columns": columns, "inputs": dict(inputs or {}),
-               "clustering": clustering.to_json() if clustering else None}
+               "clustering": clustering.to_json() if clustering else None, **more}
     _replace_json(spark, f"{base}/{mart}/_manifests/{run_id}.json", version)
     switch(spark, base, mart, version, table)
     return path
