@@ -8,7 +8,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 
-from trialmart.llm.quality import PRIOR, fit_quality, score_quality
+from trialmart.llm.quality import PRIOR, features, fit_quality, score_quality
 from trialmart.llm.toxicity import Sample, fit_ordinal, fit_toxicity, score_toxicity, word_features
 
 from .conftest import SF, table
@@ -42,10 +42,8 @@ def brute_features(text):
     words = re.findall(rb"[^\x20\x09-\x0D]+", data)
     if words:
         per = 1 / (len(words) + 8)
-        # the byte after a word's first, which for a one-letter word is what follows it
-        seconds = [data[m.start() + 1: m.start() + 2] or data[-1:] for m in re.finditer(rb"[^\x20\x09-\x0D]+", data)]
         tests = [lambda i, w: i > 0 and words[i - 1] == w, lambda i, w: len(w) == 1,
-                 lambda i, w: CLASS[w[0]] == 26 != CLASS[w[-1]], lambda i, w: CLASS[w[0]] == 26 == CLASS[seconds[i][0]],
+                 lambda i, w: CLASS[w[0]] == 26 != CLASS[w[-1]], lambda i, w: len(w) > 1 and CLASS[w[0]] == 26 == CLASS[w[1]],
                  lambda i, w: CLASS[w[-1]] >= 32,
                  lambda i, w: CLASS[w[0]] >= 32, lambda i, w: CLASS[w[0]] == 27]
         for t, test in enumerate(tests):
@@ -86,6 +84,12 @@ def test_quality_votes_brute(spark, hard_docs, hard_rows):
     assert off == 0
 
 
+def test_features_do_not_depend_on_the_batch():
+    texts = ["x A", "Bx", "", None, "A", "ABC", "B", "a A", "A b"]
+    together = features(pa.array(texts))
+    assert all((together[i] == features(pa.array([t], pa.string()))[0]).all() for i, t in enumerate(texts))
+
+
 # -- toxicity: word by word ---------------------------------------------------------
 @cache
 def hashes(word):

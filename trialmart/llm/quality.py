@@ -85,7 +85,8 @@ def features(column: pa.Array) -> np.ndarray:
         out[:, BIGRAMS] = count(repeat)
         out[:, BIGRAMS + 1] = count(ends - starts == 1)
         out[:, BIGRAMS + 2] = count((CLASS[first] == 26) & (CLASS[last] != 26))
-        out[:, BIGRAMS + 3] = count((CLASS[first] == 26) & (CLASS[raw[np.minimum(starts + 1, len(raw) - 1)]] == 26))
+        second = raw[np.minimum(starts + 1, ends - 1)]  # of the word itself, never of the next text
+        out[:, BIGRAMS + 3] = count((CLASS[first] == 26) & (ends - starts > 1) & (CLASS[second] == 26))
         out[:, BIGRAMS + 4] = count(CLASS[last] >= 32)
         out[:, BIGRAMS + 5] = count(CLASS[first] >= 32)
         out[:, BIGRAMS + 6] = count(CLASS[first] == 27)
