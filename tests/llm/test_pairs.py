@@ -36,6 +36,17 @@ def test_components(spark):
     assert got == want
 
 
+def test_components_take_few_rounds_and_plans_of_bounded_size(spark, monkeypatch):
+    """A chain of 120 in random order: rounds by its logarithm, sizes that Spark estimates are not multiplied from round to round."""
+    ids = random.Random(5).sample(range(1000), 120)
+    rounds = []
+    monkeypatch.setattr(type(spark.range(1)), "isEmpty", lambda df, f=type(spark.range(1)).isEmpty: rounds.append(1) or f(df))
+    found = components(spark.createDataFrame([*zip(ids, ids[1:])], "a long, b long"))
+    size = found._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length()
+    assert dict(found.collect()) == {i: min(ids) for i in ids}
+    assert len(rounds) <= 12 and size < 64
+
+
 def grams(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
