@@ -211,3 +211,10 @@ def test_worklist_restricts_activity_first(spark):
     top = next(i for i, line in enumerate(lines) if "Join" in line)
     assert not any("Aggregate" in line for line in lines[:top])  # no distinct above the last join
     assert "LeftSemi" in plan
+
+
+def test_worklist_does_not_hold_the_plans_of_its_parents(spark):
+    """The driver plans M2, M3 and M4 once, not at each of the seven reads of the patients."""
+    build = MartBuild(from_testdata(spark, SMOKE), run_ts=RUN_TS)
+    plan = build.worklist._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") <= 15
